@@ -1,0 +1,120 @@
+"""The jobs in order: extract, check, fit bins, apply them, score."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from creditflow import config
+from creditflow.operators import bin_tests, binning, performance, prepare, quality, report, scoring, woe
+from creditflow.operators.histogram import variable_histogram
+from creditflow.sources.tables import write_table
+
+
+def with_train_woe(counts: DataFrame) -> DataFrame:
+    """Give bins counted per split the WOE of the train part (a join of bins with bins)."""
+    train = binning.bin_statistics(counts.where(F.col("split") == "train").drop("split"))
+    lookup = train.select("variable", "bin_order", "woe")
+    return counts.join(lookup, ["variable", "bin_order"], "left").withColumn(
+        "woe", F.coalesce("woe", F.lit(woe.NEUTRAL))
+    )
+
+
+def search_bins(
+    train: DataFrame,
+    features: Sequence[str],
+    target: str = config.TARGET,
+    stop_at_one: bool = True,
+    histogram: DataFrame | None = None,
+) -> DataFrame:
+    """Search all rounds for all variables and keep each variable's settling round.
+
+    The data is read once, for the histogram; every later step works on bins.
+    """
+    counts = histogram if histogram is not None else variable_histogram(train, features, target)
+    rounds = binning.search_rounds(counts)
+    group = ["variable", "round"]
+    tested = bin_tests.test_bins(binning.bin_labels(binning.bin_statistics(rounds, group)), group)
+    return bin_tests.final_round(tested, len(config.SEARCH_ROUNDS), stop_at_one)
+
+
+def extract(base: DataFrame, dictionary: DataFrame, data: config.Dataset) -> DataFrame:
+    """Project, filter to the sample and impute."""
+    sample = prepare.sample_window(
+        prepare.project_base(base), data.start, data.end, data.recency_column, data.max_recency
+    )
+    return prepare.impute(sample, prepare.column_kinds(sample, dictionary))
+
+
+def check(imputed: DataFrame, run_id: str, fail_on_error: bool = False, suite=quality.TEST_SUITE) -> DataFrame:
+    """Run the data-quality suite; a failure stops the run only if asked to."""
+    results = quality.run_suite(imputed, suite, run_id)
+    if fail_on_error:
+        quality.require_success(results)
+    return results
+
+
+def fit_report(imputed: DataFrame, dictionary: DataFrame, features: Sequence[str], data: config.Dataset):
+    """Bins settled on the train part, and their report with train and OOT Gini.
+
+    Train and out-of-time rows share one histogram pass. Bins start at grid
+    numbers, so the out-of-time buckets fall into them exactly.
+    """
+    marked = prepare.with_split(imputed, data.split).where(F.col("split").isNotNull())
+    counts = variable_histogram(marked, features, data.target, by=["split"])
+    found = search_bins(marked, features, data.target, histogram=counts.where(F.col("split") == "train"))
+    edges = F.broadcast(found.select("variable", "bin_order", "is_special", "lo", "hi"))
+    inside = (F.col("h.special") & F.col("e.is_special")) | (
+        ~F.col("h.special") & (F.col("h.start") >= F.col("e.lo")) & (F.col("h.start") < F.col("e.hi"))
+    )
+    per_bin = (
+        counts.alias("h")
+        .join(edges.alias("e"), (F.col("h.variable") == F.col("e.variable")) & inside)
+        .groupBy("h.split", "h.variable", "e.bin_order")
+        .agg(F.sum("h.n").alias("n"), F.sum("h.bad").alias("bad"))
+    )
+    gini = performance.gini_train_oot(with_train_woe(per_bin))
+    return found, report.bin_report(found, gini, dictionary)
+
+
+def run(
+    base: DataFrame,
+    dictionary: DataFrame,
+    data: config.Dataset,
+    output: str,
+    models: DataFrame | None = None,
+    trees: PipelineModel | None = None,
+    fail_on_error: bool = False,
+    suite=quality.TEST_SUITE,
+) -> dict[str, str]:
+    """All stages for one product. Every stage is written once and read by the next."""
+    spark = base.sparkSession
+    paths = {n: f"{output}/{data.name}/{n}" for n in ("base", "quality", "bins", "report", "woe", "scores", "tree_scores")}
+
+    write_table(extract(base, dictionary, data), paths["base"])
+    imputed = spark.read.parquet(paths["base"])
+
+    check(imputed, data.name, fail_on_error, suite).write.mode("append").parquet(paths["quality"])
+
+    kinds = prepare.column_kinds(imputed, dictionary)
+    names = prepare.candidate_features(imputed, kinds, exclude=data.exclude)
+    bins, full_report = fit_report(imputed, dictionary, names, data)
+    bins.write.mode("overwrite").parquet(paths["bins"])
+    full_report.write.mode("overwrite").parquet(paths["report"])
+
+    accepted = spark.read.parquet(paths["bins"]).where(F.col("status") == "accepted")
+    table = woe.woe_table(accepted)
+    write_table(woe.woe_wide(imputed, table, keep=("LOAN_ID", "USER_ID", "DISBURSED_DATE", data.target)), paths["woe"])
+    transformed = spark.read.parquet(paths["woe"])
+
+    if models is None and table:
+        train, _ = prepare.train_and_oot(transformed, data.split)
+        models = scoring.fit_scorecard(train, [f"{v}_woe".upper() for v in table])
+    if models is not None:
+        write_table(scoring.score_scorecard(transformed, models), paths["scores"])
+    if trees is not None:
+        write_table(scoring.score_trees(imputed, trees), paths["tree_scores"])
+    return paths

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from creditflow.functions.expressions import cents, ratio
 from creditflow.operators import features
 from creditflow.operators.point_in_time import AGED, as_of, daily_panel, uses_to_events
+from creditflow.sources.tables import DICTIONARY_SCHEMA
 
 LOAN_PRIORITY = "1-URGENT"
 RECOVERY_DAYS = 90
@@ -259,3 +260,29 @@ def activity_base(spark: SparkSession, sf_dir: str) -> DataFrame:
             *[c.alias(n) for n, c in named.items()],
         )
     )
+
+
+def transaction_dictionary(spark: SparkSession) -> DataFrame:
+    """The feature dictionary plus this base's loan amount and segment."""
+    n = len(features.feature_names())
+    extra = [
+        (n + 1, "LOAN_AMOUNT", "LOAN_AMOUNT_woe", "Amount of the loan", "Numerical", "Decreasing"),
+        (n + 2, "SEGMENT", "SEGMENT_woe", "Market segment of the customer", "Categorical", "Decreasing"),
+    ]
+    return features.catalog(spark).unionByName(spark.createDataFrame(extra, DICTIONARY_SCHEMA))
+
+
+def activity_dictionary(spark: SparkSession) -> DataFrame:
+    rows = [
+        (i, n, f"{n}_woe", n.replace("_", " ").capitalize(), "Numerical", "Decreasing" if "SINCE_LAST" in n else "Increasing")
+        for i, n in enumerate(activity_names(), 1)
+    ]
+    return spark.createDataFrame(rows, DICTIONARY_SCHEMA)
+
+
+def activity_names() -> list[str]:
+    return [
+        "TOTAL_FACTS", "TOTAL_VALUE", "ACTIVE_DAYS", "DAYS_SINCE_FIRST_FACT", "DAYS_SINCE_LAST_FACT",
+        *[f"FACTS_L{d}DAY" for d in ACTIVITY_DAYS], *[f"VALUE_L{d}DAY" for d in ACTIVITY_DAYS],
+        *[f"TOTAL_{t.upper()}" for t in EVENT_TYPES], "RATIO_FACTS_3_BY_7",
+    ]
