@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,10 +24,6 @@ def rounded(value: Column | str, places: int = 6) -> Column:
     return F.round(as_column(value).cast("decimal(38,10)"), places).cast("double")
 
 
-def month_number(day: Column | str) -> Column:
-    return F.year(as_column(day)) * 12 + F.month(as_column(day))
-
-
 def cents(amount: Column | str) -> Column:
     """A money amount as whole cents, so that sums and differences are exact."""
     return F.round(as_column(amount) * 100).cast("bigint")
@@ -54,13 +49,9 @@ def _half_if_zero(cell: Column) -> Column:
     return F.when(cell == 0, F.lit(0.5)).otherwise(cell.cast("double"))
 
 
-def bin_number(value: Column, cuts: Sequence[float]) -> Column:
-    """How many of the ascending ``cuts`` are at or below ``value``."""
+def bin_number(value: str, cuts: Sequence[float]) -> str:
+    """SQL text: 1 + how many of the ascending ``cuts`` are at or below ``value``."""
     if not len(cuts):
-        return F.lit(0)
-    return reduce(lambda a, b: a + b, [(value >= F.lit(float(c))).cast("int") for c in cuts])
-
-
-def pick(number: Column, values: Sequence[float]) -> Column:
-    """``values[number]`` for a small list of constants."""
-    return F.get(F.array(*[F.lit(float(v)) for v in values]), number)
+        return "1"
+    steps = " ".join(f"WHEN {value} < {float(c)!r}D THEN {i}" for i, c in enumerate(cuts, 1))
+    return f"CASE {steps} ELSE {len(cuts) + 1} END"

@@ -92,8 +92,8 @@ def bin_order_expression(
     column: str, cuts: Sequence[float], special: Sequence[float] = (config.MISSING_NUMERIC,)
 ) -> Column:
     """Number of the bin a value falls into: 0 for special values, then ascending."""
-    value = F.col(column).cast("double")
-    return F.when(is_special(value, special), 0).otherwise(bin_number(value, cuts) + 1).cast("int")
+    value = f"cast({column} as double)"
+    return F.expr(f"CASE WHEN {is_special(value, special)} THEN 0 ELSE {bin_number(value, cuts)} END")
 
 
 def assign_bins_long(

@@ -1,7 +1,7 @@
 """The 197 loan features, as a grid of families and windows.
 
-``feature_columns`` turns point-in-time totals into the named features;
-``catalog`` is the feature dictionary that belongs to them. A month is 30 days:
+``feature_columns`` gives each named feature as an SQL expression over
+point-in-time totals; ``catalog`` is the feature dictionary that belongs to them. A month is 30 days:
 an N-month window is the last 30*N days, a daily average divides by 30*N and a
 monthly one by N. Overall averages divide by the days since the first fact.
 """
@@ -9,11 +9,10 @@ monthly one by N. Overall averages divide by the days since the first fact.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from creditflow.functions.expressions import month_number, ratio
 from creditflow.sources.tables import DICTIONARY_SCHEMA
 
 MONTHS = (1, 2, 3, 6, 12)
@@ -57,12 +56,28 @@ SETTLEMENT_WINDOWS = {
 }
 
 
-def money(cents: str) -> Column:
-    return F.col(cents).cast("double") / F.lit(100.0)
+def money(cents: str) -> str:
+    return f"(cast({cents} as double) / 100.0D)"
 
 
-def whole(column: str) -> Column:
-    return F.col(column).cast("double")
+def whole(column: str) -> str:
+    return f"cast({column} as double)"
+
+
+def ratio(numerator: str, denominator: str) -> str:
+    return f"try_divide(cast({numerator} as double), cast({denominator} as double))"
+
+
+def per(total: str, units: int) -> str:
+    return f"({total} / {units}.0D)"
+
+
+def days_since(day: str) -> str:
+    return f"cast(anchor_day - {day} as double)"
+
+
+def months_since(month: str) -> str:
+    return f"cast(year(disbursed_date) * 12 + month(disbursed_date) - {month} as double)"
 
 
 def _size_label(months: int) -> str:
@@ -70,12 +85,10 @@ def _size_label(months: int) -> str:
     return "AMOUNT" if months == 1 else "AMT"
 
 
-def core_features() -> dict[str, Column]:
+def core_features() -> dict[str, str]:
     """Totals, activity, recency, rolling averages, ratios, transaction size."""
-    gap = {n: (F.col("anchor_day") - F.col(n)).cast("double") for n in ("first_day", "last_day", "second_day")}
-    anchor_month = month_number("disbursed_date")
     out = {
-        "PLATFORM_AGE": gap["first_day"],
+        "PLATFORM_AGE": days_since("first_day"),
         "TOTAL_TRXNS": whole("n_txn"),
         "TOTAL_TXN_MONTHS": whole("active_months"),
         "ACTIVE_DAYS": whole("active_days"),
@@ -84,23 +97,23 @@ def core_features() -> dict[str, Column]:
         "DEBIT_AMNT": money("c_debit"),
         "CREDIT_AMNT": money("c_credit"),
         "TOTAL_TXN_AMNT": money("c_txn"),
-        "DAYS_SINCE_FIRST_TXN": gap["first_day"],
-        "DAYS_SINCE_LAST_TXN": gap["last_day"],
-        "MONTHS_SINCE_FIRST_TXN": (anchor_month - F.col("first_month")).cast("double"),
-        "MONTHS_SINCE_LAST_TXN": (anchor_month - F.col("last_month")).cast("double"),
-        "ACTIVATION_AGE": gap["second_day"],
+        "DAYS_SINCE_FIRST_TXN": days_since("first_day"),
+        "DAYS_SINCE_LAST_TXN": days_since("last_day"),
+        "MONTHS_SINCE_FIRST_TXN": months_since("first_month"),
+        "MONTHS_SINCE_LAST_TXN": months_since("last_month"),
+        "ACTIVATION_AGE": days_since("second_day"),
         "D_1_TXNS": whole("n_txn_1"),
         "D_30_TXNS": whole("n_txn_30"),
     }
     for level, days in (("DAILY", 30), ("MONTHLY", 1)):
         for m in MONTHS:
-            out[f"AVG_TRXNS_CNT_L{m}MONTH_{level}"] = whole(f"n_txn_{30 * m}") / (days * m)
+            out[f"AVG_TRXNS_CNT_L{m}MONTH_{level}"] = per(whole(f"n_txn_{30 * m}"), days * m)
         for m in MONTHS:
-            out[f"AVG_TRXNS_{_size_label(m)}_L{m}MONTH_{level}"] = money(f"c_txn_{30 * m}") / (days * m)
+            out[f"AVG_TRXNS_{_size_label(m)}_L{m}MONTH_{level}"] = per(money(f"c_txn_{30 * m}"), days * m)
         for side in ("CREDIT", "DEBIT"):
             for m in MONTHS:
-                out[f"AVG_{side}_TRXNS_CNT_L{m}MONTH_{level}"] = (
-                    whole(f"n_{side.lower()}_{30 * m}") / (days * m)
+                out[f"AVG_{side}_TRXNS_CNT_L{m}MONTH_{level}"] = per(
+                    whole(f"n_{side.lower()}_{30 * m}"), days * m
                 )
     out["TOTAL_TRXNS_CNT_3_BY_6"] = ratio("n_txn_90", "n_txn_180")
     out["TOTAL_TRXNS_CNT_3_BY_12"] = ratio("n_txn_90", "n_txn_360")
@@ -120,16 +133,16 @@ def core_features() -> dict[str, Column]:
     return out
 
 
-def account_features() -> dict[str, Column]:
+def account_features() -> dict[str, str]:
     return {"TOTAL_ACCOUNTS": whole("accounts"), "ACTIVE_ACCOUNTS": whole("active_accounts")}
 
 
-def counterparty_features() -> dict[str, Column]:
+def counterparty_features() -> dict[str, str]:
     out = {
         "TOTAL_CUSTOMERS": whole("customers"),
         "NO_PLATFORM_CUSTOMERS": whole("platform_customers"),
-        "DAYS_SINCE_FIRST_CUST_ADDED": (F.col("anchor_day") - F.col("first_customers")).cast("double"),
-        "DAYS_SINCE_LAST_CUST_ADDED": (F.col("anchor_day") - F.col("last_customers")).cast("double"),
+        "DAYS_SINCE_FIRST_CUST_ADDED": days_since("first_customers"),
+        "DAYS_SINCE_LAST_CUST_ADDED": days_since("last_customers"),
         "TOTAL_COUNTERPARTY_TRXNS": whole("n_counterparty"),
         "TOTAL_COUNTERPARTY_TXN_AMT": money("c_counterparty"),
     }
@@ -138,26 +151,26 @@ def counterparty_features() -> dict[str, Column]:
             for m in (1, 2, 3):
                 name = f"AVG_TXN_{kind}_WITH_PLATFORM_COUNTERPARTY_USERS_{m}MNTH_{level}"
                 source = "n_counterparty" if kind == "CNT" else "c_counterparty"
-                out[name] = total(f"{source}_{30 * m}") / (days * m)
+                out[name] = per(total(f"{source}_{30 * m}"), days * m)
     out["ACTIVE_PLATFORM_COUNTERPARTY_USERS"] = whole("active_platform")
     return out
 
 
-def settlement_features() -> dict[str, Column]:
+def settlement_features() -> dict[str, str]:
     """Credit extended, recovered by age, settlement counts, averages, ratios."""
-    out: dict[str, Column] = {}
+    out: dict[str, str] = {}
     overall = {name: _settled(name, "") for name in SETTLEMENT}
     window = {(name, m): _settled(name, f"_{30 * m}") for name in SETTLEMENT for m in LONG_MONTHS}
-    age = F.col("anchor_day") - F.col("first_day")
+    age = "anchor_day - first_day"
     out["CREDIT_EXTENDED_TOTAL"] = overall["CREDIT_EXTENDED"]
     for name in SETTLEMENT[1:]:
         out[name] = overall[name]
     for level, days in (("DAILY", 30), ("MONTHLY", 1)):
         for name in SETTLEMENT:
             for m in LONG_MONTHS:
-                out[f"{name}_{m}MNTH_AVG_{level}"] = window[name, m] / (days * m)
-            scale = 1.0 if level == "DAILY" else 30.0
-            out[f"{name}_OVERALL_AVG_{level}"] = ratio(overall[name] * scale, age)
+                out[f"{name}_{m}MNTH_AVG_{level}"] = per(window[name, m], days * m)
+            scale = "1.0D" if level == "DAILY" else "30.0D"
+            out[f"{name}_OVERALL_AVG_{level}"] = ratio(f"{overall[name]} * {scale}", age)
     out["CREDIT_EXTENDED_LAST_MONTH_VALUE"] = money("c_txn_30")
     for m in (6, 12):
         for name in SETTLEMENT:
@@ -191,8 +204,8 @@ def _settled(name: str, window: str) -> Column:
     if name == "FULL_SETTLED_TRXNS":
         return whole(f"n_full{window}")
     if name == "PARTIAL_SETTLED_TRXNS":
-        return whole(f"n_touched{window}") - whole(f"n_full{window}")
-    return whole(f"n_txn{window}") - whole(f"n_touched{window}")
+        return f"({whole(f'n_touched{window}')} - {whole(f'n_full{window}')})"
+    return f"({whole(f'n_txn{window}')} - {whole(f'n_touched{window}')})"
 
 
 FAMILIES = {
@@ -203,8 +216,8 @@ FAMILIES = {
 }
 
 
-def feature_columns(families: Iterable[str] = FAMILIES) -> dict[str, Column]:
-    out: dict[str, Column] = {}
+def feature_columns(families: Iterable[str] = FAMILIES) -> dict[str, str]:
+    out: dict[str, str] = {}
     for family in families:
         out.update(FAMILIES[family][0]())
     return out
@@ -261,6 +274,7 @@ NOT_IN_TREE_MODEL = (
 )
 
 
+@cache
 def feature_names() -> list[str]:
     """All feature names in catalog order."""
     names = list(feature_columns())
@@ -285,8 +299,11 @@ def expected_trend(name: str) -> str:
 
 def catalog(spark: SparkSession) -> DataFrame:
     """The feature dictionary: number, name, WOE name, description, kind, trend."""
-    rows = [
+    return spark.createDataFrame(catalog_rows(), DICTIONARY_SCHEMA)
+
+
+def catalog_rows() -> list[tuple]:
+    return [
         (i, name, f"{name}_woe", name.replace("_", " ").capitalize(), "Numerical", expected_trend(name))
         for i, name in enumerate(feature_names(), 1)
     ]
-    return spark.createDataFrame(rows, DICTIONARY_SCHEMA)

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditflow import config
@@ -58,10 +58,10 @@ def long_form(
     )
 
 
-def is_special(value: Column | str, special: Sequence[float]) -> Column:
-    v = F.col(value) if isinstance(value, str) else value
-    missing = v.isNull() | F.isnan(v)
-    return missing | v.isin(*[float(s) for s in special]) if len(special) else missing
+def is_special(value: str, special: Sequence[float]) -> str:
+    """SQL text: whether a value is missing or one of the special values."""
+    tests = [f"{value} IS NULL", f"isnan({value})", *[f"{value} = {float(s)!r}D" for s in special]]
+    return "(" + " OR ".join(tests) + ")"
 
 
 def _count(long: DataFrame, keys: Sequence[str], digits: int) -> DataFrame:
@@ -90,7 +90,7 @@ def variable_histogram(
 
     ``start`` is null in the special bucket.
     """
-    long = long_form(df, features, target, by).withColumn("special", is_special("value", special))
+    long = long_form(df, features, target, by).withColumn("special", F.expr(is_special("value", special)))
     counts = stage(_count(long, by, DIGIT_STEPS[0]), "histogram")
     for coarse, fine in zip(DIGIT_STEPS, DIGIT_STEPS[1:]):
         heavy = _heavy_buckets(counts, max_share)
@@ -99,7 +99,7 @@ def variable_histogram(
             break
         # At most 1 / max_share buckets per variable can be heavy.
         marks = F.broadcast(heavy)
-        long = long_form(df, variables, target, by).withColumn("special", is_special("value", special))
+        long = long_form(df, variables, target, by).withColumn("special", F.expr(is_special("value", special)))
         inside = with_grid_start(long.where(~F.col("special")), "value", coarse, "start").join(
             marks, ["variable", "start"], "left_semi"
         )

@@ -16,8 +16,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditflow.functions.expressions import month_number
-
 AGED = "__aged"
 
 
@@ -29,7 +27,7 @@ def daily_panel(events: Sequence[DataFrame], anchors: DataFrame, key: str, day:
     measures = [c for c in rows.columns if c not in (key, day, "is_anchor")]
     return rows.groupBy(key, day).agg(
         F.max("is_anchor").alias("is_anchor"),
-        *[F.coalesce(F.sum(m), F.lit(0)).cast("bigint").alias(m) for m in measures],
+        *[F.expr(f"coalesce(sum({m}), 0L)").alias(m) for m in measures],
     )
 
 
@@ -54,56 +52,49 @@ def as_of(
     and second active day, active days and active months. ``dated`` measures
     get the first and last day on which they were above 0.
     """
-    order = Window.partitionBy(key).orderBy("__n")
-    before = order.rangeBetween(Window.unboundedPreceding, -1)
-    active_day = F.when(F.col(count) > 0, F.col("__n"))
-    month = F.when(F.col(count) > 0, month_number(day))
-    before_row = order.rowsBetween(Window.unboundedPreceding, -1)
-
-    numbered = (
-        panel.withColumn("__n", F.unix_date(day))
-        .withColumn("__active", active_day)
-        .withColumn("__month", month)
-        .withColumn("__last_month", F.last("__month", ignorenulls=True).over(before_row))
-        .withColumn(
-            "__new_month",
-            F.when(~F.col("__month").eqNullSafe(F.col("__last_month")) & F.col("__month").isNotNull(), 1),
-        )
-    )
+    per_key = f"PARTITION BY {key} ORDER BY day_number"
 
-    def total(column: str, frame) -> F.Column:
-        return F.coalesce(F.sum(column).over(frame), F.lit(0))
+    def until(days: int) -> str:
+        return f"OVER ({per_key} RANGE BETWEEN UNBOUNDED PRECEDING AND {days} PRECEDING)"
 
+    before = until(1)
     out = {
-        "first_day": F.min("__active").over(before),
-        "last_day": F.max("__active").over(before),
-        "second_day": F.nth_value("__active", 2, ignoreNulls=True).over(before),
-        "active_days": F.count("__active").over(before),
-        "active_months": F.count("__new_month").over(before),
-        "first_month": F.min("__month").over(before),
-        "last_month": F.max("__month").over(before),
+        "first_day": f"min(active) {before}",
+        "last_day": f"max(active) {before}",
+        "second_day": f"nth_value(active, 2) IGNORE NULLS {before}",
+        "active_days": f"count(active) {before}",
+        "active_months": f"count(new_month) {before}",
+        "first_month": f"min(month) {before}",
+        "last_month": f"max(month) {before}",
     }
     for measure in dated:
-        when_positive = F.when(F.col(measure) > 0, F.col("__n"))
-        out[f"first_{measure}"] = F.min(when_positive).over(before)
-        out[f"last_{measure}"] = F.max(when_positive).over(before)
-    totals = {}
+        out[f"first_{measure}"] = f"min(CASE WHEN {measure} > 0 THEN day_number END) {before}"
+        out[f"last_{measure}"] = f"max(CASE WHEN {measure} > 0 THEN day_number END) {before}"
+    older, totals = {}, {}
+    columns = set(panel.columns)
     for measure, lengths in windows.items():
-        aged = measure + AGED if measure + AGED in panel.columns else measure
-        out[measure] = total(measure, before)
+        aged = measure + AGED if measure + AGED in columns else measure
+        out[measure] = f"coalesce(sum({measure}) {before}, 0)"
         for length in lengths:
-            older = order.rangeBetween(Window.unboundedPreceding, -(length + 1))
-            out[f"{measure}_before_{length}"] = total(aged, older)
-            totals[f"{measure}_{length}"] = F.col(measure) - F.col(f"{measure}_before_{length}")
-
-    sums = numbered.select(
-        F.col(key).alias("__key"), F.col(day).alias("__day"), F.col("__n").alias("anchor_day"),
-        "is_anchor", *[c.alias(n) for n, c in out.items()],
-    ).where("is_anchor = 1")
-    kept = [n for n in out if "_before_" not in n]
-    return sums.select(
-        F.col("__key").alias(key), F.col("__day").alias(day), "anchor_day", *kept,
-        *[c.alias(n) for n, c in totals.items()],
+            older[f"{measure}_before_{length}"] = f"coalesce(sum({aged}) {until(length + 1)}, 0)"
+            totals[f"{measure}_{length}"] = f"{measure} - {measure}_before_{length}"
+
+    numbered = panel.selectExpr(
+        "*",
+        f"unix_date({day}) AS day_number",
+        f"CASE WHEN {count} > 0 THEN unix_date({day}) END AS active",
+        f"CASE WHEN {count} > 0 THEN year({day}) * 12 + month({day}) END AS month",
+    ).selectExpr(
+        "*",
+        f"CASE WHEN month IS DISTINCT FROM last_value(month) IGNORE NULLS OVER ({per_key} "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN month END AS new_month",
+    )
+    return (
+        numbered.selectExpr(
+            key, day, "day_number AS anchor_day", "is_anchor", *[f"{e} AS {n}" for n, e in {**out, **older}.items()]
+        )
+        .where("is_anchor = 1")
+        .selectExpr(key, day, "anchor_day", *out, *[f"{e} AS {n}" for n, e in totals.items()])
     )
 
 

@@ -57,9 +57,13 @@ def column_kinds(df: DataFrame, dictionary: DataFrame) -> dict[str, str]:
     The dictionary has one row per column, so it fits on the driver.
     """
     rows = dictionary.select("variables", "Type").limit(config.MAX_PARAMETER_ROWS).collect()
-    known = {r["variables"].upper(): r["Type"] for r in rows}
+    return kinds_by_name(df.columns, {r["variables"]: r["Type"] for r in rows})
+
+
+def kinds_by_name(columns: Sequence[str], types: dict[str, str]) -> dict[str, str]:
+    known = {name.upper(): kind for name, kind in types.items()}
     kinds = {}
-    for name in df.columns:
+    for name in columns:
         kind = known.get(name.upper())
         kinds[name] = kind if kind in ("Numerical", "Categorical") else "Others"
     return kinds
@@ -77,28 +81,25 @@ def impute(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
     for name in df.columns:
         if kinds.get(name) == "Numerical":
             value = _strict_double(name, types[name])
-            columns.append(
-                F.when(value.isNull() | F.isnan(value), F.lit(config.MISSING_NUMERIC))
-                .otherwise(value)
-                .alias(name)
-            )
+            columns.append(f"coalesce(nanvl({value}, {config.MISSING_NUMERIC}D), {config.MISSING_NUMERIC}D) AS {name}")
         elif kinds.get(name) == "Categorical":
-            missing = F.col(name).isNull() | (F.col(name) == config.NULL_TOKEN)
             columns.append(
-                F.when(missing, F.lit(config.MISSING_CATEGORY)).otherwise(F.col(name)).alias(name)
+                f"CASE WHEN {name} IS NULL OR {name} = '{config.NULL_TOKEN}' "
+                f"THEN '{config.MISSING_CATEGORY}' ELSE {name} END AS {name}"
             )
         else:
-            columns.append(F.col(name))
-    return df.select(*columns)
+            columns.append(name)
+    return df.selectExpr(*columns)
 
 
-def _strict_double(name: str, dtype: str) -> F.Column:
+def _strict_double(name: str, dtype: str) -> str:
     if dtype != "string":
-        return F.col(name).cast("double")
-    parsed = F.col(name).try_cast("double")
-    bad = F.col(name).isNotNull() & parsed.isNull()
-    message = F.concat(F.lit(f"not a number in {name}: "), F.col(name))
-    return F.when(bad, F.raise_error(message).cast("double")).otherwise(parsed)
+        return f"cast({name} as double)"
+    return (
+        f"CASE WHEN {name} IS NOT NULL AND try_cast({name} AS double) IS NULL "
+        f"THEN cast(raise_error(concat('not a number in {name}: ', {name})) AS double) "
+        f"ELSE try_cast({name} AS double) END"
+    )
 
 
 def with_split(df: DataFrame, cut: str, date: str = "DISBURSED_DATE") -> DataFrame:

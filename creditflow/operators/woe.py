@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditflow import config
-from creditflow.functions.expressions import bin_number, pick
 from creditflow.operators.histogram import is_special
 
 # A value that no bin covers (a missing value where none was seen in training,
@@ -40,13 +39,14 @@ def woe_table(bins: DataFrame) -> dict[str, dict]:
 def woe_expression(
     column: str, entry: Mapping, special: Sequence[float] = (config.MISSING_NUMERIC,)
 ) -> Column:
-    value = F.col(column).cast("double")
+    value = f"cast({column} as double)"
+    missing = f"{float(entry['special'])!r}D"
     if not entry["woe"]:
-        return F.when(is_special(value, special), F.lit(float(entry["special"]))).otherwise(F.lit(NEUTRAL))
-    # A bin set may start above -inf (its lowest training bin had no rows below).
-    padded = entry["woe"] if len(entry["cuts"]) < len(entry["woe"]) else [NEUTRAL, *entry["woe"]]
-    return F.when(is_special(value, special), F.lit(float(entry["special"]))).otherwise(
-        pick(bin_number(value, entry["cuts"]), padded)
+        return F.expr(f"CASE WHEN {is_special(value, special)} THEN {missing} ELSE {NEUTRAL}D END")
+    # One WOE more than cuts; the first bin reaches down to -infinity.
+    steps = "".join(f" WHEN {value} < {float(c)!r}D THEN {float(w)!r}D" for c, w in zip(entry["cuts"], entry["woe"]))
+    return F.expr(
+        f"CASE WHEN {is_special(value, special)} THEN {missing}{steps} ELSE {float(entry['woe'][-1])!r}D END"
     )
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditflow import config
-from creditflow.functions.expressions import rounded
 from creditflow.operators import bin_tests, binning, features, performance, prepare, quality, report, scoring, woe
 from creditflow.operators.histogram import variable_histogram
 from creditflow.plans import pipeline
@@ -51,8 +50,11 @@ ACTIVITY_CUTS = {
 
 def round_doubles(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Doubles at 6 decimals, so that engines can be compared."""
-    return df.select(
-        *[rounded(c).alias(c) if t == "double" and c not in keep else F.col(c) for c, t in df.dtypes]
+    return df.selectExpr(
+        *[
+            f"cast(round(cast({c} as decimal(38,10)), 6) as double) AS {c}" if t == "double" and c not in keep else c
+            for c, t in df.dtypes
+        ]
     )
 
 
@@ -62,8 +64,11 @@ def _base(spark: SparkSession, sf: str, families: Sequence[str] = ("core",)) ->
 
 def _imputed(spark: SparkSession, sf: str, families: Sequence[str] = ("core",)) -> DataFrame:
     base = _base(spark, sf, families)
-    kinds = prepare.column_kinds(base, datasets.transaction_dictionary(spark))
-    return prepare.impute(base, kinds)
+    return prepare.impute(base, _kinds(base.columns, datasets.transaction_dictionary_rows()))
+
+
+def _kinds(columns: Sequence[str], dictionary: list[tuple]) -> dict[str, str]:
+    return prepare.kinds_by_name(columns, {row[1]: row[4] for row in dictionary})
 
 
 # --- extract, impute, split -----------------------------------------------------
@@ -413,8 +418,7 @@ def activity_features(spark, sf):
 
 def activity_woe_iv(spark, sf):
     base = prepare.project_base(datasets.activity_base(spark, sf))
-    kinds = prepare.column_kinds(base, datasets.activity_dictionary(spark))
-    imputed = prepare.impute(base, kinds)
+    imputed = prepare.impute(base, _kinds(base.columns, datasets.activity_dictionary_rows()))
     counts = binning.count_bins(imputed, ACTIVITY_CUTS)
     bins = binning.bin_statistics(binning.with_edges(counts, binning.bins_from_cuts(spark, ACTIVITY_CUTS)))
     tested = bin_tests.test_bins(bins)

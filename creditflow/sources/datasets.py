@@ -17,7 +17,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from creditflow.functions.expressions import cents, ratio
+from creditflow.functions.expressions import cents
 from creditflow.operators import features
 from creditflow.operators.point_in_time import AGED, as_of, daily_panel, uses_to_events
 from creditflow.sources.tables import DICTIONARY_SCHEMA
@@ -214,7 +214,7 @@ def transaction_base(
             F.when(F.col("loan_id") % 2 == 0, F.col("BAD_FLAG")).otherwise(0).alias("EVER15DPD_IN_60DAYS"),
             "LOAN_AMOUNT",
             "SEGMENT",
-            *[c.alias(n) for n, c in named.items()],
+            *[F.expr(c).alias(n) for n, c in named.items()],
         )
     )
 
@@ -240,12 +240,12 @@ def activity_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         "TOTAL_FACTS": features.whole("facts"),
         "TOTAL_VALUE": features.money("c_value"),
         "ACTIVE_DAYS": features.whole("active_days"),
-        "DAYS_SINCE_FIRST_FACT": (F.col("anchor_day") - F.col("first_day")).cast("double"),
-        "DAYS_SINCE_LAST_FACT": (F.col("anchor_day") - F.col("last_day")).cast("double"),
+        "DAYS_SINCE_FIRST_FACT": features.days_since("first_day"),
+        "DAYS_SINCE_LAST_FACT": features.days_since("last_day"),
         **{f"FACTS_L{d}DAY": features.whole(f"facts_{d}") for d in ACTIVITY_DAYS},
         **{f"VALUE_L{d}DAY": features.money(f"c_value_{d}") for d in ACTIVITY_DAYS},
         **{f"TOTAL_{t.upper()}": features.whole(f"n_{t}") for t in EVENT_TYPES},
-        "RATIO_FACTS_3_BY_7": ratio("facts_3", "facts_7"),
+        "RATIO_FACTS_3_BY_7": features.ratio("facts_3", "facts_7"),
     }
     return (
         signups.join(known.withColumnRenamed("day", "disbursed_date"), ["user_id", "disbursed_date"])
@@ -257,27 +257,34 @@ def activity_base(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("BAD_FLAG").alias("EVER11DPD_IN_90DAYS"),
             F.col("BAD_FLAG").alias("EVER15DPD_IN_90DAYS"),
             F.when(F.col("loan_id") % 2 == 0, F.col("BAD_FLAG")).otherwise(0).alias("EVER15DPD_IN_60DAYS"),
-            *[c.alias(n) for n, c in named.items()],
+            *[F.expr(c).alias(n) for n, c in named.items()],
         )
     )
 
 
-def transaction_dictionary(spark: SparkSession) -> DataFrame:
+def transaction_dictionary_rows() -> list[tuple]:
     """The feature dictionary plus this base's loan amount and segment."""
     n = len(features.feature_names())
-    extra = [
+    return [
+        *features.catalog_rows(),
         (n + 1, "LOAN_AMOUNT", "LOAN_AMOUNT_woe", "Amount of the loan", "Numerical", "Decreasing"),
         (n + 2, "SEGMENT", "SEGMENT_woe", "Market segment of the customer", "Categorical", "Decreasing"),
     ]
-    return features.catalog(spark).unionByName(spark.createDataFrame(extra, DICTIONARY_SCHEMA))
 
 
-def activity_dictionary(spark: SparkSession) -> DataFrame:
-    rows = [
+def activity_dictionary_rows() -> list[tuple]:
+    return [
         (i, n, f"{n}_woe", n.replace("_", " ").capitalize(), "Numerical", "Decreasing" if "SINCE_LAST" in n else "Increasing")
         for i, n in enumerate(activity_names(), 1)
     ]
-    return spark.createDataFrame(rows, DICTIONARY_SCHEMA)
+
+
+def transaction_dictionary(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(transaction_dictionary_rows(), DICTIONARY_SCHEMA)
+
+
+def activity_dictionary(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(activity_dictionary_rows(), DICTIONARY_SCHEMA)
 
 
 def activity_names() -> list[str]:
