@@ -25,24 +25,35 @@ DIGIT_STEPS = (3, 6, 9, 12, 15)
 
 
 def with_grid_start(df: DataFrame, value: str, digits: int, out: str) -> DataFrame:
-    """Add the start of the bucket of ``value``: the largest grid number not above it."""
-    v = F.col(value)
-    size = F.abs(v)
-    guess = F.floor(F.log10(size))
-    in_steps = (
-        df.withColumn("__e", guess - (size < F.pow(F.lit(10.0), guess)).cast("int"))
-        .withColumn("__step", F.pow(F.lit(10.0), F.col("__e") - F.lit(digits - 1)))
-        .withColumn("__k", F.floor(v / F.col("__step")))
-    )
-    step, k = F.col("__step"), F.col("__k")
-    exact = k + (v >= (k + 1) * step).cast("int") - (v < k * step).cast("int")
-    infinite = v.isin(float("inf"), float("-inf"))
-    start = (
-        F.when(size < SMALLEST, F.when(v < 0, -SMALLEST).otherwise(0.0))
-        .when(infinite, v)
-        .otherwise(exact.cast("double") * step)
+    """Add the start of the bucket of ``value``: the largest grid number not above it.
+
+    Grid numbers are whole numbers over (or times) a power of ten, so they are
+    the doubles nearest to their printed decimals. The last step settles values
+    that the scaling rounded across a grid number.
+    """
+    names = df.columns
+    up = f"pow(10D, cast({digits - 1} - e AS double))"
+    down = f"pow(10D, cast(e - {digits - 1} AS double))"
+
+    def grid(k: str) -> str:
+        return f"(CASE WHEN e < {digits} THEN ({k}) / scale ELSE ({k}) * scale END)"
+
+    return (
+        df.selectExpr(*names, f"floor(log10(abs({value}))) AS guess")
+        .selectExpr(*names, f"guess - CASE WHEN abs({value}) < pow(10D, cast(guess AS double)) THEN 1 ELSE 0 END AS e")
+        .selectExpr(*names, "e", f"CASE WHEN e < {digits} THEN {up} ELSE {down} END AS scale")
+        .selectExpr(
+            *names, "e", "scale",
+            f"cast(floor(CASE WHEN e < {digits} THEN {value} * scale ELSE {value} / scale END) AS double) AS k",
+        )
+        .selectExpr(
+            *names,
+            f"CASE WHEN abs({value}) < {SMALLEST}D THEN CASE WHEN {value} < 0 THEN -{SMALLEST}D ELSE 0D END "
+            f"WHEN abs({value}) = double('inf') THEN {value} "
+            f"WHEN {value} >= {grid('k + 1')} THEN {grid('k + 1')} "
+            f"WHEN {value} < {grid('k')} THEN {grid('k - 1')} ELSE {grid('k')} END AS {out}",
+        )
     )
-    return in_steps.withColumn(out, start).drop("__e", "__step", "__k")
 
 
 def long_form(

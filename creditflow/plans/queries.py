@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from creditflow import config
 from creditflow.operators import bin_tests, binning, features, performance, prepare, quality, report, scoring, woe
 from creditflow.operators.histogram import variable_histogram
-from creditflow.plans import pipeline
+from creditflow.plans import jobs
 from creditflow.session import stage
 from creditflow.sources import datasets
 from creditflow.sources.tables import latest_batch
@@ -199,7 +199,7 @@ def _split_counts(spark, sf) -> DataFrame:
     """Counts per (split, variable, bin) with the WOE fitted on the train part."""
     marked = prepare.with_split(_imputed(spark, sf), config.TRANSACTIONS.split)
     counts = binning.count_bins(marked, FIXED_CUTS, by=["split"])
-    return pipeline.with_train_woe(counts)
+    return jobs.with_train_woe(counts)
 
 
 def univariate_auc(spark, sf):
@@ -268,10 +268,9 @@ def woebin_fit(spark, sf):
     """One round: at most 5 ordinary bins of at least 5 % of the rows each."""
     counts = variable_histogram(_imputed(spark, sf), list(FIXED_CUTS))
     bins = binning.search_rounds(counts, rounds=((5, 0.05),)).drop("round")
-    labelled = binning.bin_labels(binning.bin_statistics(bins))
     return round_doubles(
-        labelled.select(
-            "variable", "bin_order", "bin", "is_special", "lo", "hi", "count", "count_distr", "good", "bad",
+        binning.bin_statistics(bins).select(
+            "variable", "bin_order", "is_special", "lo", "hi", "count", "count_distr", "good", "bad",
             "badprob", "woe", "bin_iv", "total_iv",
         ),
         keep=("lo", "hi"),
@@ -282,7 +281,7 @@ def woebin_search(spark, sf):
     """The whole search over all numeric features of the transaction base."""
     data = _imputed(spark, sf, tuple(features.FAMILIES))
     train = prepare.with_split(data, config.TRANSACTIONS.split).where("split = 'train'")
-    found = pipeline.search_bins(train, [*features.feature_names(), "LOAN_AMOUNT"])
+    found = jobs.search_bins(train, [*features.feature_names(), "LOAN_AMOUNT"])
     return round_doubles(
         found.select("variable", "round", "status", "bin_order", "lo", "hi", "count", "good", "bad", "woe", "total_iv"),
         keep=("lo", "hi"),
