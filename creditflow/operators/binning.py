@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from creditflow import config
 from creditflow.functions.expressions import bin_number, information_value, ratio, weight_of_evidence
 from creditflow.operators.histogram import is_special
-from creditflow.sources.tables import BIN_SCHEMA
+from creditflow.sources.tables import BIN_SCHEMA, small_table
 
 INFINITY = float("inf")
 
@@ -63,7 +63,7 @@ def bins_from_cuts(spark: SparkSession, cuts: Mapping[str, Sequence[float]]) ->
         edges = [-INFINITY, *[float(p) for p in points], INFINITY]
         rows.append((variable, 0, True, None, None))
         rows += [(variable, i, False, edges[i - 1], edges[i]) for i in range(1, len(edges))]
-    return spark.createDataFrame(rows, BIN_SCHEMA)
+    return small_table(spark, rows, BIN_SCHEMA)
 
 
 def cuts_of(bins: DataFrame) -> dict[str, list[float]]:

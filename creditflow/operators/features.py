@@ -13,7 +13,7 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from creditflow.sources.tables import DICTIONARY_SCHEMA
+from creditflow.sources.tables import DICTIONARY_SCHEMA, small_table
 
 MONTHS = (1, 2, 3, 6, 12)
 LONG_MONTHS = (3, 6, 12)
@@ -299,7 +299,7 @@ def expected_trend(name: str) -> str:
 
 def catalog(spark: SparkSession) -> DataFrame:
     """The feature dictionary: number, name, WOE name, description, kind, trend."""
-    return spark.createDataFrame(catalog_rows(), DICTIONARY_SCHEMA)
+    return small_table(spark, catalog_rows(), DICTIONARY_SCHEMA)
 
 
 def catalog_rows() -> list[tuple]:

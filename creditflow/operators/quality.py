@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MIN_BETWEEN = "expect_column_min_to_be_between"
@@ -70,6 +70,11 @@ def run_suite(
     return results.withColumn("success", within)
 
 
+def with_run_success(results: DataFrame) -> DataFrame:
+    """Add each run's overall outcome to its result rows."""
+    return results.withColumn("run_success", F.bool_and("success").over(Window.partitionBy("run_id")))
+
+
 def run_success(results: DataFrame) -> DataFrame:
     """Overall outcome per run."""
     return results.groupBy("run_id").agg(F.bool_and("success").alias("success"))

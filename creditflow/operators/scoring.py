@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from creditflow import config
 from creditflow.functions.expressions import sigmoid
-from creditflow.sources.tables import MODEL_SCHEMA, upper_names
+from creditflow.sources.tables import COMPONENT_SCHEMA, MODEL_SCHEMA, small_table, upper_names
 
 CONSTANT = "const"
 
@@ -25,7 +25,7 @@ def model_table(spark: SparkSession, model_no: int, constant: float, coefficient
     """A model as rows: the constant first, then one row per ``_woe`` variable."""
     rows = [(model_no, CONSTANT, float(constant))]
     rows += [(model_no, name, float(c)) for name, c in coefficients.items()]
-    return spark.createDataFrame(rows, MODEL_SCHEMA)
+    return small_table(spark, rows, MODEL_SCHEMA)
 
 
 def model_coefficients(models: DataFrame, model_no: int) -> tuple[float, dict[str, float]]:
@@ -133,7 +133,7 @@ def explained_variance(df: DataFrame, features: Sequence[str]) -> DataFrame:
     for i, share in enumerate(shares, 1):
         total += share
         rows.append((i, float(share), float(total)))
-    return df.sparkSession.createDataFrame(rows, "component int, variance double, cumulative double")
+    return small_table(df.sparkSession, rows, COMPONENT_SCHEMA)
 
 
 def components_for_share(variance: DataFrame, share: float = config.PCA_VARIANCE_SHARE) -> DataFrame:

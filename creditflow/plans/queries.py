@@ -167,7 +167,7 @@ def decision_counts(spark, sf):
 
 def round_union(spark, sf):
     """Two rounds: what the first leaves unresolved is binned again."""
-    imputed = _imputed(spark, sf)
+    imputed = stage(_imputed(spark, sf).select("BAD_FLAG", *FIXED_CUTS), "base")
     group = ["round", "variable"]
 
     def binned(cuts, number):
@@ -185,20 +185,25 @@ def round_union(spark, sf):
 # --- weight of evidence, performance, report --------------------------------------
 
 
+def _fitted(spark, sf, cuts=FIXED_CUTS) -> tuple[DataFrame, dict]:
+    """The imputed base, staged because fitting and applying both read it, and its WOE table."""
+    imputed = stage(_imputed(spark, sf).select(*config.ID_COLUMNS, "BAD_FLAG", *cuts), "base")
+    counts = binning.with_edges(binning.count_bins(imputed, cuts), binning.bins_from_cuts(spark, cuts))
+    return imputed, woe.woe_table(binning.bin_statistics(counts))
+
+
 def woe_apply_long(spark, sf):
-    table = woe.woe_table(_bins(spark, sf))
-    return round_doubles(woe.woe_long(_imputed(spark, sf), table))
+    return round_doubles(woe.woe_long(*_fitted(spark, sf)))
 
 
 def woe_apply_wide(spark, sf):
-    table = woe.woe_table(_bins(spark, sf))
-    return round_doubles(woe.woe_wide(_imputed(spark, sf), table))
+    return round_doubles(woe.woe_wide(*_fitted(spark, sf)))
 
 
 def _split_counts(spark, sf) -> DataFrame:
     """Counts per (split, variable, bin) with the WOE fitted on the train part."""
     marked = prepare.with_split(_imputed(spark, sf), config.TRANSACTIONS.split)
-    counts = binning.count_bins(marked, FIXED_CUTS, by=["split"])
+    counts = stage(binning.count_bins(marked, FIXED_CUTS, by=["split"]), "counts")
     return jobs.with_train_woe(counts)
 
 
@@ -224,8 +229,7 @@ def bin_trend_report(spark, sf):
 
 
 def scorecard_score(spark, sf):
-    imputed = _imputed(spark, sf)
-    table = woe.woe_table(_bins(spark, sf, {v[:-4]: FIXED_CUTS[v[:-4]] for v in SCORECARD}))
+    imputed, table = _fitted(spark, sf, {v[:-4]: FIXED_CUTS[v[:-4]] for v in SCORECARD})
     transformed = woe.woe_wide(imputed, table)
     models = scoring.model_table(spark, config.MODEL_NO, SCORECARD_CONSTANT, SCORECARD)
     frame = scoring.model_frame(imputed, transformed, list(SCORECARD))
@@ -280,8 +284,9 @@ def woebin_fit(spark, sf):
 def woebin_search(spark, sf):
     """The whole search over all numeric features of the transaction base."""
     data = _imputed(spark, sf, tuple(features.FAMILIES))
-    train = prepare.with_split(data, config.TRANSACTIONS.split).where("split = 'train'")
-    found = jobs.search_bins(train, [*features.feature_names(), "LOAN_AMOUNT"])
+    names = [*features.feature_names(), "LOAN_AMOUNT"]
+    train = prepare.with_split(data, config.TRANSACTIONS.split).where("split = 'train'").select("BAD_FLAG", *names)
+    found = jobs.search_bins(stage(train, "train"), names)
     return round_doubles(
         found.select("variable", "round", "status", "bin_order", "lo", "hi", "count", "good", "bad", "woe", "total_iv"),
         keep=("lo", "hi"),
@@ -313,8 +318,7 @@ def dq_unique_between(spark, sf):
 
 
 def dq_suite(spark, sf):
-    results = quality.run_suite(_quality_base(spark, sf), quality.TEST_SUITE, "suite")
-    return results.join(quality.run_success(results).withColumnRenamed("success", "run_success"), "run_id")
+    return quality.with_run_success(quality.run_suite(_quality_base(spark, sf), quality.TEST_SUITE, "suite"))
 
 
 def dq_latest_batch(spark, sf):

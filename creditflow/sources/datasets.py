@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from creditflow.functions.expressions import cents
 from creditflow.operators import features
 from creditflow.operators.point_in_time import AGED, as_of, daily_panel, uses_to_events
-from creditflow.sources.tables import DICTIONARY_SCHEMA
+from creditflow.sources.tables import DICTIONARY_SCHEMA, read_given, small_table
 
 LOAN_PRIORITY = "1-URGENT"
 RECOVERY_DAYS = 90
@@ -29,7 +29,7 @@ EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+    return read_given(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
         F.col("o_orderdate").cast("date").alias("day"),
@@ -41,7 +41,7 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per loan: ids, date, customer segment and loan amount."""
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+    customer = read_given(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("user_id"),
         F.when(F.col("c_mktsegment") == "FURNITURE", F.lit("--"))
         .when(F.col("c_mktsegment") != "MACHINERY", F.col("c_mktsegment"))
@@ -166,7 +166,9 @@ def counterparty_events(orders: DataFrame, lineitem: DataFrame, supplier: DataFr
             zero.alias("c_counterparty"),
         ),
     )
-    return marked.select("user_id", F.inline(rows)).withColumnRenamed("d", "day")
+    # A use that closes nothing has an all-zero second row.
+    used = (F.col("customers") + F.col("n_counterparty") != 0) | (F.col("active_platform") != 0)
+    return marked.select("user_id", F.inline(rows)).where(used).withColumnRenamed("d", "day")
 
 
 def transaction_base(
@@ -179,11 +181,11 @@ def transaction_base(
     if "accounts" in families:
         parts.append(account_events(orders))
     if "settlement" in families or "counterparty" in families:
-        lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+        lineitem = read_given(spark, sf_dir, "lineitem")
     if "settlement" in families:
         parts.append(settlement_events(orders, lineitem))
     if "counterparty" in families:
-        supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+        supplier = read_given(spark, sf_dir, "supplier")
         parts.append(counterparty_events(orders, lineitem, supplier))
 
     all_loans = loans(spark, sf_dir)
@@ -221,7 +223,7 @@ def transaction_base(
 
 def activity_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per signup event with the user's earlier activity."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    events = read_given(spark, sf_dir, "events").select(
         "event_id", "user_id", F.col("ts").cast("date").alias("day"), "event_type", cents("value").alias("c")
     )
     measures = {"facts": F.lit(1), **{f"n_{t}": (F.col("event_type") == t).cast("int") for t in EVENT_TYPES}}
@@ -280,11 +282,11 @@ def activity_dictionary_rows() -> list[tuple]:
 
 
 def transaction_dictionary(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(transaction_dictionary_rows(), DICTIONARY_SCHEMA)
+    return small_table(spark, transaction_dictionary_rows(), DICTIONARY_SCHEMA)
 
 
 def activity_dictionary(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(activity_dictionary_rows(), DICTIONARY_SCHEMA)
+    return small_table(spark, activity_dictionary_rows(), DICTIONARY_SCHEMA)
 
 
 def activity_names() -> list[str]:

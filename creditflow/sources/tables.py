@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 DICTIONARY_SCHEMA = T.StructType(
     [
@@ -32,6 +34,45 @@ MODEL_SCHEMA = T.StructType(
         T.StructField("coef", T.DoubleType()),
     ]
 )
+COMPONENT_SCHEMA = T.StructType(
+    [
+        T.StructField("component", T.IntegerType()),
+        T.StructField("variance", T.DoubleType()),
+        T.StructField("cumulative", T.DoubleType()),
+    ]
+)
+
+# Columns that the modelling bases use of the given tables. Naming them spares a
+# job per table that only reads file footers.
+TABLE_SCHEMAS = {
+    "customer": "c_custkey bigint, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_acctbal double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": "l_orderkey bigint, l_suppkey bigint, l_extendedprice double, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, user_id bigint, ts timestamp_ntz, event_type string, value double",
+}
+
+
+def read_given(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One of the given tables, with only the columns this engine uses."""
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+
+
+def small_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """Parameters (bins, coefficients, dictionary) as a table held in the plan.
+
+    Arrow keeps the rows in the plan with a known size, so that joins with them
+    are planned by that size and no Python task is started.
+    """
+    columns = list(zip(*rows)) if rows else [[] for _ in schema.fields]
+    arrow = pa.table(
+        [pa.array(values, type=to_arrow_type(f.dataType)) for values, f in zip(columns, schema.fields)],
+        names=schema.names,
+    )
+    return spark.createDataFrame(arrow, schema)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
