@@ -161,8 +161,8 @@ def greedy_rounds(
         usual = counts[~counts["special"]].sort_values("start")
         n, bad, start = (usual[c].to_numpy() for c in ("n", "bad", "start"))
         total = int(counts["n"].sum())
-        bads = max(float(counts["bad"].sum()), 0.5)
-        goods = max(float(total - counts["bad"].sum()), 0.5)
+        bads = float(counts["bad"].sum())
+        goods = total - bads
 
         # Fine bins of about equal size; a bucket is never split.
         before = np.cumsum(n) - n
@@ -181,7 +181,9 @@ def greedy_rounds(
 
         def split_sequence(share, limit):
             cuts, candidates, last = [], np.arange(1, len(first)), len(first)
-            iv = segment_iv(0, last) if last else 0.0
+            if not last or bads == 0 or goods == 0:
+                return cuts
+            iv = segment_iv(0, last)
             while len(cuts) + 1 < limit and len(candidates):
                 bounds = np.sort(np.array([0, *cuts, last]))
                 at = np.searchsorted(bounds, candidates, side="right")

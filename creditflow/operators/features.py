@@ -47,7 +47,6 @@ COUNTERPARTY_WINDOWS = {
     "c_counterparty": (30, 60, 90),
 }
 SETTLEMENT_WINDOWS = {
-    "c_recovered": (90, 180, 360),
     "c_recovered_0to30": (90, 180, 360),
     "c_recovered_31to60": (90, 180, 360),
     "c_recovered_61to90": (90, 180, 360),
@@ -198,7 +197,8 @@ def _settled(name: str, window: str) -> Column:
     if name == "CREDIT_EXTENDED":
         return money(f"c_txn{window}")
     if name == "CREDIT_RECOVERED":
-        return money(f"c_recovered{window}")
+        parts = " + ".join(f"c_recovered_{age}{window}" for age in ("0to30", "31to60", "61to90"))
+        return money(f"({parts})")
     if name.startswith("AMT_RECOVERED_"):
         return money(f"c_recovered_{name.rsplit('_', 1)[1].lower()}{window}")
     if name == "FULL_SETTLED_TRXNS":

@@ -52,24 +52,24 @@ def as_of(
     and second active day, active days and active months. ``dated`` measures
     get the first and last day on which they were above 0.
     """
-    per_key = f"PARTITION BY {key} ORDER BY day_number"
+    per_key = f"PARTITION BY {key} ORDER BY __day_number"
 
     def until(days: int) -> str:
         return f"OVER ({per_key} RANGE BETWEEN UNBOUNDED PRECEDING AND {days} PRECEDING)"
 
     before = until(1)
     out = {
-        "first_day": f"min(active) {before}",
-        "last_day": f"max(active) {before}",
-        "second_day": f"nth_value(active, 2) IGNORE NULLS {before}",
-        "active_days": f"count(active) {before}",
-        "active_months": f"count(new_month) {before}",
-        "first_month": f"min(month) {before}",
-        "last_month": f"max(month) {before}",
+        "first_day": f"min(__active) {before}",
+        "last_day": f"max(__active) {before}",
+        "second_day": f"nth_value(__active, 2) IGNORE NULLS {before}",
+        "active_days": f"count(__active) {before}",
+        "active_months": f"count(__new_month) {before}",
+        "first_month": f"min(__month) {before}",
+        "last_month": f"max(__month) {before}",
     }
     for measure in dated:
-        out[f"first_{measure}"] = f"min(CASE WHEN {measure} > 0 THEN day_number END) {before}"
-        out[f"last_{measure}"] = f"max(CASE WHEN {measure} > 0 THEN day_number END) {before}"
+        out[f"first_{measure}"] = f"min(CASE WHEN {measure} > 0 THEN __day_number END) {before}"
+        out[f"last_{measure}"] = f"max(CASE WHEN {measure} > 0 THEN __day_number END) {before}"
     older, totals = {}, {}
     columns = set(panel.columns)
     for measure, lengths in windows.items():
@@ -81,17 +81,17 @@ def as_of(
 
     numbered = panel.selectExpr(
         "*",
-        f"unix_date({day}) AS day_number",
-        f"CASE WHEN {count} > 0 THEN unix_date({day}) END AS active",
-        f"CASE WHEN {count} > 0 THEN year({day}) * 12 + month({day}) END AS month",
+        f"unix_date({day}) AS __day_number",
+        f"CASE WHEN {count} > 0 THEN unix_date({day}) END AS __active",
+        f"CASE WHEN {count} > 0 THEN year({day}) * 12 + month({day}) END AS __month",
     ).selectExpr(
         "*",
-        f"CASE WHEN month IS DISTINCT FROM last_value(month) IGNORE NULLS OVER ({per_key} "
-        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN month END AS new_month",
+        f"CASE WHEN __month IS DISTINCT FROM last_value(__month) IGNORE NULLS OVER ({per_key} "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN __month END AS __new_month",
     )
     return (
         numbered.selectExpr(
-            key, day, "day_number AS anchor_day", "is_anchor", *[f"{e} AS {n}" for n, e in {**out, **older}.items()]
+            key, day, "__day_number AS anchor_day", "is_anchor", *[f"{e} AS {n}" for n, e in {**out, **older}.items()]
         )
         .where("is_anchor = 1")
         .selectExpr(key, day, "anchor_day", *out, *[f"{e} AS {n}" for n, e in totals.items()])

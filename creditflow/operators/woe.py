@@ -11,7 +11,8 @@ from creditflow import config
 from creditflow.operators.histogram import is_special
 
 # A value that no bin covers (a missing value where none was seen in training,
-# an unseen category) carries no evidence.
+# an unseen category) carries no evidence, and neither does a bin of a sample
+# with only one class.
 NEUTRAL = 0.0
 
 
@@ -27,12 +28,13 @@ def woe_table(bins: DataFrame) -> dict[str, dict]:
     table: dict[str, dict] = {}
     for row in sorted(rows, key=lambda r: (r["variable"], r["bin_order"])):
         entry = table.setdefault(row["variable"], {"cuts": [], "woe": [], "special": NEUTRAL})
+        value = NEUTRAL if row["woe"] is None else row["woe"]
         if row["is_special"]:
-            entry["special"] = row["woe"]
+            entry["special"] = value
         else:
             if row["lo"] != -float("inf"):
                 entry["cuts"].append(row["lo"])
-            entry["woe"].append(row["woe"])
+            entry["woe"].append(value)
     return table
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from creditflow import config
 from creditflow.operators import bin_tests, binning, performance, prepare, quality, report, scoring, woe
 from creditflow.operators.histogram import variable_histogram
-from creditflow.sources.tables import write_table
+from creditflow.session import stage
+from creditflow.sources.tables import append_results, write_table
 
 
 def with_train_woe(counts: DataFrame) -> DataFrame:
@@ -65,7 +66,8 @@ def fit_report(imputed: DataFrame, dictionary: DataFrame, features: Sequence[str
     """
     marked = prepare.with_split(imputed, data.split).where(F.col("split").isNotNull())
     counts = variable_histogram(marked, features, data.target, by=["split"])
-    found = search_bins(marked, features, data.target, histogram=counts.where(F.col("split") == "train"))
+    train_counts = counts.where(F.col("split") == "train")
+    found = stage(search_bins(marked, features, data.target, histogram=train_counts), "bins")
     edges = F.broadcast(found.select("variable", "bin_order", "is_special", "lo", "hi"))
     inside = (F.col("h.special") & F.col("e.is_special")) | (
         ~F.col("h.special") & (F.col("h.start") >= F.col("e.lo")) & (F.col("h.start") < F.col("e.hi"))
@@ -92,22 +94,29 @@ def run(
 ) -> dict[str, str]:
     """All stages for one product. Every stage is written once and read by the next."""
     spark = base.sparkSession
-    paths = {n: f"{output}/{data.name}/{n}" for n in ("base", "quality", "bins", "report", "woe", "scores", "tree_scores")}
+    stages = ("base", "quality", "categories", "bins", "report", "woe", "scores", "tree_scores")
+    paths = {n: f"{output}/{data.name}/{n}" for n in stages}
 
     write_table(extract(base, dictionary, data), paths["base"])
     imputed = spark.read.parquet(paths["base"])
 
-    check(imputed, data.name, fail_on_error, suite).write.mode("append").parquet(paths["quality"])
+    append_results(check(imputed, data.name, fail_on_error, suite), paths["quality"])
 
     kinds = prepare.column_kinds(imputed, dictionary)
-    names = prepare.candidate_features(imputed, kinds, exclude=data.exclude)
-    bins, full_report = fit_report(imputed, dictionary, names, data)
+    numbers = prepare.candidate_features(imputed, kinds, exclude=data.exclude)
+    categories = prepare.candidate_features(imputed, kinds, "Categorical", data.exclude)
+    scored = imputed
+    if categories:
+        train, _ = prepare.train_and_oot(imputed, data.split)
+        binning.category_scores(train, categories, data.target).write.mode("overwrite").parquet(paths["categories"])
+        scored = binning.score_categories(imputed, categories, spark.read.parquet(paths["categories"]))
+    bins, full_report = fit_report(scored, dictionary, [*numbers, *categories], data)
     bins.write.mode("overwrite").parquet(paths["bins"])
     full_report.write.mode("overwrite").parquet(paths["report"])
 
     accepted = spark.read.parquet(paths["bins"]).where(F.col("status") == "accepted")
     table = woe.woe_table(accepted)
-    write_table(woe.woe_wide(imputed, table, keep=("LOAN_ID", "USER_ID", "DISBURSED_DATE", data.target)), paths["woe"])
+    write_table(woe.woe_wide(scored, table, keep=("LOAN_ID", "USER_ID", "DISBURSED_DATE", data.target)), paths["woe"])
     transformed = spark.read.parquet(paths["woe"])
 
     if models is None and table:

@@ -25,13 +25,13 @@ def local_session(cores: str = "*", app: str = "creditflow") -> SparkSession:
 
 def staging_root(spark: SparkSession) -> str:
     """The shared folder for staged tables: ``spark.checkpoint.dir``."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="creditflow-")
-    spark.conf.set("spark.checkpoint.dir", root)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if root is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="creditflow-"))
+        root = context.getCheckpointDir()
     return root
 
 

@@ -110,7 +110,6 @@ def settlement_events(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         return F.when(F.col("gap").between(low, high), F.col("c")).otherwise(F.lit(0))
 
     measures = {
-        "c_recovered": F.col("c"),
         "c_recovered_0to30": aged(0, 30),
         "c_recovered_31to60": aged(31, 60),
         "c_recovered_61to90": aged(61, 90),
@@ -128,16 +127,22 @@ def settlement_events(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
 
 def counterparty_events(orders: DataFrame, lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
-    by_supplier = lineitem.groupBy(
-        F.col("l_orderkey").alias("order_id"), F.col("l_suppkey").alias("supplier_id")
-    ).agg(F.count("*").alias("n"), F.sum(cents("l_extendedprice")).alias("c"))
+    """Dealings with suppliers: first seen, still active, and volume if on the platform.
+
+    The lines meet their orders first and shrink to one row per (user, supplier,
+    day) right after, so an order or a supplier with very many lines is only a
+    skewed join side that the adaptive planner splits, never a group.
+    """
     platform = supplier.select(
         F.col("s_suppkey").alias("supplier_id"), (F.col("s_acctbal") >= 0).alias("platform")
     )
+    lines = lineitem.select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_suppkey").alias("supplier_id"), cents("l_extendedprice").alias("c")
+    )
     uses = (
-        by_supplier.join(orders.select("order_id", "user_id", "day"), "order_id")
+        lines.join(orders.select("order_id", "user_id", "day"), "order_id")
         .groupBy("user_id", "supplier_id", "day")
-        .agg(F.sum("n").alias("n"), F.sum("c").alias("c"))
+        .agg(F.count("*").alias("n"), F.sum("c").alias("c"))
         .join(platform, "supplier_id", "left")
         .withColumn("platform", F.coalesce("platform", F.lit(False)))
     )
