@@ -91,8 +91,8 @@ def variable_counts(tested: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return tested.groupBy(*by, "status").agg(F.countDistinct("variable").alias("variables"))
 
 
-def final_round(tested: DataFrame, rounds: int, stop_at_one: bool = True) -> DataFrame:
-    """Each variable's bins in the round that settles it.
+def settling_rounds(tested: DataFrame, rounds: int, stop_at_one: bool = True) -> DataFrame:
+    """(variable, round): the round that settles each variable.
 
     A variable is settled by the first round that accepts or rejects it and
     leaves the search. With ``stop_at_one`` the search ends as soon as a single
@@ -112,5 +112,16 @@ def final_round(tested: DataFrame, rounds: int, stop_at_one: bool = True) -> Dat
         )
         settled = settled.withColumn("second", F.nth_value("settled", 2).over(latest_first))
         last = F.least(F.lit(rounds), F.coalesce("second", F.lit(0)))
-    chosen = settled.select("variable", F.least(F.col("settled"), last).alias("round"))
-    return tested.join(chosen, ["variable", "round"])
+    return settled.select("variable", F.least(F.col("settled"), last).alias("round"))
+
+
+def final_round(tested: DataFrame, rounds: int, stop_at_one: bool = True) -> DataFrame:
+    """Each variable's bins in the round that settles it."""
+    return tested.join(settling_rounds(tested, rounds, stop_at_one), ["variable", "round"])
+
+
+def round_counts(tested: DataFrame, rounds: int, stop_at_one: bool = True) -> DataFrame:
+    """Per round: how many of the variables still in the search it accepts, rejects, leaves open."""
+    ends = settling_rounds(tested, rounds, stop_at_one).withColumnRenamed("round", "last_round")
+    ran = tested.join(ends, "variable").where(F.col("round") <= F.col("last_round"))
+    return variable_counts(ran, ["round"])

@@ -24,21 +24,24 @@ def with_train_woe(counts: DataFrame) -> DataFrame:
     )
 
 
+def search_trace(counts: DataFrame) -> DataFrame:
+    """Bins of every round with statistics, tests and decision, from a histogram.
+
+    Staged: it is small (variables x rounds x bins), and settling reads it twice.
+    """
+    group = ["variable", "round"]
+    bins = binning.bin_statistics(binning.search_rounds(counts), group)
+    return stage(bin_tests.test_bins(binning.bin_labels(bins), group), "rounds")
+
+
 def search_bins(
-    train: DataFrame,
-    features: Sequence[str],
-    target: str = config.TARGET,
-    stop_at_one: bool = True,
-    histogram: DataFrame | None = None,
+    train: DataFrame, features: Sequence[str], target: str = config.TARGET, stop_at_one: bool = True
 ) -> DataFrame:
     """Search all rounds for all variables and keep each variable's settling round.
 
     The data is read once, for the histogram; every later step works on bins.
     """
-    counts = histogram if histogram is not None else variable_histogram(train, features, target)
-    rounds = binning.search_rounds(counts)
-    group = ["variable", "round"]
-    tested = bin_tests.test_bins(binning.bin_labels(binning.bin_statistics(rounds, group)), group)
+    tested = search_trace(variable_histogram(train, features, target))
     return bin_tests.final_round(tested, len(config.SEARCH_ROUNDS), stop_at_one)
 
 
@@ -66,8 +69,8 @@ def fit_report(imputed: DataFrame, dictionary: DataFrame, features: Sequence[str
     """
     marked = prepare.with_split(imputed, data.split).where(F.col("split").isNotNull())
     counts = variable_histogram(marked, features, data.target, by=["split"])
-    train_counts = counts.where(F.col("split") == "train")
-    found = stage(search_bins(marked, features, data.target, histogram=train_counts), "bins")
+    tested = search_trace(counts.where(F.col("split") == "train"))
+    found = bin_tests.final_round(tested, len(config.SEARCH_ROUNDS))
     edges = F.broadcast(found.select("variable", "bin_order", "is_special", "lo", "hi"))
     inside = (F.col("h.special") & F.col("e.is_special")) | (
         ~F.col("h.special") & (F.col("h.start") >= F.col("e.lo")) & (F.col("h.start") < F.col("e.hi"))

@@ -729,12 +729,27 @@ FROM performance""",
     }
     bins = f"""SELECT {{0}}variable, bin_order, lo, hi, count, good, bad, {r6('woe')} AS woe, {r6('total_iv')} AS total_iv"""
     share = 1.0 / config.FINE_BINS
-    out["woebin_search"] = (
+    search = (
         base_cte(all_names) + histogram_cte([*all_names, "LOAN_AMOUNT"], share, where=f"DISBURSED_DATE <= DATE '{data.split}'")
-        + search_cte(config.SEARCH_ROUNDS) + tests_cte(group="variable, round") + settle_cte(config.SEARCH_ROUNDS)
-        + " " + bins.format("CAST(round AS INTEGER) AS round, status, ") + " FROM tested JOIN chosen USING (variable, round)"
+        + search_cte(config.SEARCH_ROUNDS) + tests_cte(group="variable, round") + settle_cte(config.SEARCH_ROUNDS) + " "
+    )
+    out["woebin_search"] = (
+        search + bins.format("CAST(round AS INTEGER) AS round, status, ") + " FROM tested JOIN chosen USING (variable, round)"
+    )
+    out["search_round_counts"] = (
+        search + """SELECT CAST(t.round AS INTEGER) AS round, status, count(DISTINCT variable) AS variables
+FROM tested t JOIN chosen c USING (variable) WHERE t.round <= c.round GROUP BY t.round, status"""
     )
     one_round = ((5, 0.05),)
+    out["category_bins"] = (
+        base_cte([]) + """,
+filled AS (SELECT BAD_FLAG, CASE WHEN SEGMENT IS NULL OR SEGMENT = '--' THEN 'missing' ELSE SEGMENT END AS category FROM base),
+scores AS (SELECT category, floor(sum(BAD_FLAG) * 1000 / count(*)) / 1000 AS score FROM filled GROUP BY category),
+scored AS (SELECT BAD_FLAG, score AS SEGMENT FROM filled JOIN scores USING (category))"""
+        + histogram_cte(["SEGMENT"], share, source="scored") + search_cte(one_round)
+        + f""" SELECT 'SEGMENT' AS variable, category, {r6('score')} AS score, CAST(bin_order AS INTEGER) AS bin_order, {r6('woe')} AS woe
+FROM scores JOIN stats ON score >= lo AND score < hi"""
+    )
     out["woebin_fit"] = (
         FIXED_BASE + histogram_cte(q.FIXED_CUTS, share) + search_cte(one_round)
         + f" {bins.format('')}, is_special, {r6('count_distr')} AS count_distr, {r6('badprob')} AS badprob, {r6('bin_iv')} AS bin_iv FROM stats"

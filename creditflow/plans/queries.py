@@ -281,18 +281,42 @@ def woebin_fit(spark, sf):
     )
 
 
-def woebin_search(spark, sf):
-    """The whole search over all numeric features of the transaction base."""
+def _search_trace(spark, sf) -> DataFrame:
+    """All rounds over all numeric features of the transaction base's train part."""
     data = _imputed(spark, sf, tuple(features.FAMILIES))
     names = [*features.feature_names(), "LOAN_AMOUNT"]
     train = prepare.with_split(data, config.TRANSACTIONS.split).where("split = 'train'").select("BAD_FLAG", *names)
-    found = jobs.search_bins(stage(train, "train"), names)
+    return jobs.search_trace(variable_histogram(stage(train, "train"), names))
+
+
+def woebin_search(spark, sf):
+    """The bins that the search settles on, per variable."""
+    found = bin_tests.final_round(_search_trace(spark, sf), len(config.SEARCH_ROUNDS))
     return round_doubles(
         found.select("variable", "round", "status", "bin_order", "lo", "hi", "count", "good", "bad", "woe", "total_iv"),
         keep=("lo", "hi"),
     )
 
 
+def search_round_counts(spark, sf):
+    """Accepted, rejected and open variables in every round that ran."""
+    return bin_tests.round_counts(_search_trace(spark, sf), len(config.SEARCH_ROUNDS))
+
+
+def category_bins(spark, sf):
+    """Categories binned by their bad rate: each category's bin and weight of evidence."""
+    imputed = stage(_imputed(spark, sf).select("BAD_FLAG", "SEGMENT"), "base")
+    scores = binning.category_scores(imputed, ["SEGMENT"])
+    counts = variable_histogram(binning.score_categories(imputed, ["SEGMENT"], scores), ["SEGMENT"])
+    bins = binning.bin_statistics(binning.search_rounds(counts, rounds=((5, 0.05),)).drop("round"))
+    numbered = woe.woe_table(bins)["SEGMENT"]
+    return round_doubles(
+        scores.select("variable", "category", "score").withColumn(
+            "bin_order", binning.bin_order_expression("score", numbered["cuts"])
+        ).withColumn("woe", woe.woe_expression("score", numbered))
+    )
+
+
 # --- data quality -------------------------------------------------------------------
 
 
@@ -440,6 +464,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         feat_totals_activity, feat_recency, feat_rolling_daily, feat_rolling_monthly, feat_window_ratios,
         feat_txn_size, feat_counterparty, feat_settlement_ageing, feat_settlement_averages,
         feat_recovery_ratios, activity_features, activity_woe_iv, variable_histogram_grid, woebin_fit,
-        woebin_search, scorecard_fit, gbt_score, pca_components,
+        woebin_search, search_round_counts, category_bins, scorecard_fit, gbt_score, pca_components,
     )
 }

@@ -125,6 +125,11 @@ def append_results(results: DataFrame, path: str) -> None:
     results.write.mode("append").parquet(path)
 
 
+def preview(df: DataFrame, rows: int = 5) -> tuple[tuple[int, int], DataFrame]:
+    """Shape of a table and its first rows."""
+    return (df.count(), len(df.columns)), df.limit(rows)
+
+
 def latest_batch(df: DataFrame, batch_column: str | None) -> DataFrame:
     """Only the rows of the newest batch; the whole table if it has none.
 

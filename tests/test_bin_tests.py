@@ -74,3 +74,11 @@ def test_never_settled_keeps_the_last_round(spark):
     tested = spark.createDataFrame(rows, "variable string, round int, status string")
     final = bin_tests.final_round(tested, 3).select("variable", F.col("round")).collect()
     assert sorted(map(tuple, final)) == [("A", 3), ("B", 3)]
+
+
+def test_round_counts_leave_out_settled_variables(spark):
+    settle = {"A": 1, "B": 2, "C": 9}
+    rows = [(v, r, "accepted" if r >= settle[v] else "unresolved") for v in settle for r in range(1, 4)]
+    tested = spark.createDataFrame(rows, "variable string, round int, status string")
+    got = {(r["round"], r["status"]): r["variables"] for r in bin_tests.round_counts(tested, 3).collect()}
+    assert got == {(1, "accepted"): 1, (1, "unresolved"): 2, (2, "accepted"): 1, (2, "unresolved"): 1}

@@ -130,6 +130,11 @@ def test_table_round_trip_in_upper_case(spark, tmp_path):
     assert df.columns == ["A", "B"] and [tuple(r) for r in df.collect()] == [(2, "x")]
 
 
+def test_preview(spark):
+    shape, head = tables.preview(spark.range(9).selectExpr("id", "id * 2 AS twice"), 4)
+    assert shape == (9, 2) and head.count() == 4
+
+
 def test_dictionary_and_model_from_csv(spark, tmp_path):
     datasets.transaction_dictionary(spark).write.csv(str(tmp_path / "d"), header=True)
     assert tables.read_dictionary(spark, str(tmp_path / "d")).count() == 199
