@@ -12,6 +12,7 @@ All measures are whole numbers (amounts in cents), so differences are exact.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,10 +21,20 @@ AGED = "__aged"
 
 
 def daily_panel(events: Sequence[DataFrame], anchors: DataFrame, key: str, day: str) -> DataFrame:
-    """One row per (key, day): summed measures, and whether the day is an anchor."""
-    rows = anchors.select(key, day).withColumn("is_anchor", F.lit(1))
+    """One row per (key, day): summed measures, and whether the day is an anchor.
+
+    Each source is summed by itself first, so what is shuffled carries only that
+    source's measures, and a hot (key, day) leaves a task as one row. The sources
+    then lie partitioned alike and are put together where they are. Rows without
+    a key or a day belong to no point in time.
+    """
+    placed = f"{key} IS NOT NULL AND {day} IS NOT NULL"
+    parts = [anchors.select(key, day).where(placed).distinct().withColumn("is_anchor", F.lit(1))]
     for part in events:
-        rows = rows.unionByName(part, allowMissingColumns=True)
+        part = part.where(placed)
+        measures = [c for c in part.columns if c not in (key, day)]
+        parts.append(part.groupBy(key, day).agg(*[F.expr(f"sum({m})").alias(m) for m in measures]))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     measures = [c for c in rows.columns if c not in (key, day, "is_anchor")]
     return rows.groupBy(key, day).agg(
         F.max("is_anchor").alias("is_anchor"),

@@ -210,7 +210,7 @@ def transaction_base(
     if "counterparty" in families and "accounts" in families and "settlement" in families:
         named = {n: named[n] for n in features.feature_names()}
     return (
-        all_loans.join(known.withColumnRenamed("day", "disbursed_date"), ["user_id", "disbursed_date"])
+        all_loans.join(known.withColumnRenamed("day", "disbursed_date"), ["user_id", "disbursed_date"], "left")
         .withColumn("BAD_FLAG", bad)
         .select(
             F.col("user_id").alias("USER_ID"),
@@ -255,7 +255,7 @@ def activity_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         "RATIO_FACTS_3_BY_7": features.ratio("facts_3", "facts_7"),
     }
     return (
-        signups.join(known.withColumnRenamed("day", "disbursed_date"), ["user_id", "disbursed_date"])
+        signups.join(known.withColumnRenamed("day", "disbursed_date"), ["user_id", "disbursed_date"], "left")
         .withColumn("BAD_FLAG", bad)
         .select(
             F.col("user_id").alias("USER_ID"),

@@ -81,11 +81,35 @@ def test_dated_twice_counts_only_what_was_known(spark):
             assert r[f"c_{w}"] == sum(c for m, _, c in mine if a - m <= w)
 
 
+def test_facts_without_a_day_or_key_are_never_known(spark):
+    facts = [(1, None, 5), (None, DAY, 7), (1, DAY, 2)]
+    events = spark.createDataFrame(facts, "user_id int, day date, n long")
+    anchors = spark.createDataFrame([(1, day(3)), (1, None), (None, day(3))], "user_id int, day date")
+    got = as_of(daily_panel([events], anchors, "user_id", "day"), "user_id", "day", {"n": (30,)}, "n").collect()
+    assert [(r["user_id"], r["day"], r["n"], r["n_30"]) for r in got] == [(1, day(3), 2, 2)]
+
+
+def test_loans_without_a_customer_stay(spark, tmp_path):
+    from creditflow.sources import datasets
+
+    for name in ("customer", "orders"):
+        df = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+        if name == "orders":
+            lost = F.when(F.col("o_orderkey") % 5 != 0, F.col("o_custkey"))
+            df = df.withColumn("o_custkey", lost)
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    base = datasets.transaction_base(spark, str(tmp_path), ("core",))
+    assert base.count() == 273
+    unknown = base.where("USER_ID IS NULL")
+    assert unknown.count() > 0 and unknown.where("TOTAL_TRXNS IS NOT NULL").count() == 0
+
+
 def test_no_pairwise_join(spark, capsys):
     events = spark.createDataFrame([(1, DAY, 1)], "user_id int, day date, n long")
     panel = daily_panel([events], events.select("user_id", "day"), "user_id", "day")
     as_of(panel, "user_id", "day", {"n": (30, 60, 90)}, "n").explain()
     plan = capsys.readouterr().out
     assert "Join" not in plan
-    assert plan.count("Exchange hashpartitioning") == 2
+    # One per source and one by user: the sources are put together without a shuffle.
+    assert plan.count("Exchange hashpartitioning") == 3
     assert plan.count("Sort [") == 1
