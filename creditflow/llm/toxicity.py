@@ -26,11 +26,13 @@ from creditflow.llm import common, quality_classifier, sparse
 
 CATEGORIES = ("abusive", "repeated", "toxic")
 MAX_TRAINING_ROWS = 6000
-BUCKETS = 1 << 16
-BEGINNING = 4
+BUCKETS = 1 << 18
+# Lengths of the word beginnings, which stand for inflected and compound forms.
+BEGINNINGS = (4, 5, 6, 7)
 FOLDS = 3
 EPOCHS = 6
-THRESHOLD = 0.5
+# Toxic texts are few and a missed one costs more than a false alarm: under one half.
+THRESHOLD = 0.3
 # A feature is used if it stands in at least so many texts of the sample and its number of marked ones is so many
 # standard deviations from what chance gives; it is a term of abuse if at least this share of its texts is marked.
 LEAST_TEXTS = 5
@@ -44,7 +46,7 @@ WORD = re.compile(r"[^\W\d_]+")
 def features(text: str | None) -> list[int]:
     """Buckets of the distinct lower-case words and of their beginnings, sorted."""
     words = set(WORD.findall((text or "").lower()))
-    tokens = {b"w" + w.encode() for w in words} | {b"b" + w[:BEGINNING].encode() for w in words if len(w) > BEGINNING}
+    tokens = {b"w" + w.encode() for w in words} | {b"b" + w[:n].encode() for w in words for n in BEGINNINGS if len(w) > n}
     return sorted({common.feature_hash(t, BUCKETS) for t in tokens})
 
 
