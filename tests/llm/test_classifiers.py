@@ -24,13 +24,14 @@ def test_sum_of_squares_is_the_sum_over_pairs():
 
 
 def test_pairs_are_learned():
-    # the label is that both or neither of two features are there: no linear model can tell
+    # the label is that both or neither of two features are there: a linear model gets three of the four cases at most
     random = np.random.default_rng(2)
     a, b = random.integers(0, 2, 2000), random.integers(0, 2, 2000)
     x = rows(*[{i: 1.0 for i, on in ((0, p), (1, 1 - p), (2, q), (3, 1 - q)) if on} for p, q in zip(a, b, strict=True)])
     y = (a == b).astype(float)
     assert ((sparse.fit(x, y, 4, 4, epochs=40).score(x) > 0.5) == y).mean() > 0.95
-    assert ((sparse.fit(x, y, 4, 0, epochs=40).score(x) > 0.5) == y).mean() < 0.7
+    rarest = min(((a == p) & (b == q)).mean() for p in (0, 1) for q in (0, 1))
+    assert ((sparse.fit(x, y, 4, 0, epochs=40).score(x) > 0.5) == y).mean() <= 1 - rarest
 
 
 def test_one_kind_of_label():

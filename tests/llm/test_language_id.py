@@ -1,3 +1,5 @@
+from itertools import product
+
 from helpers import documents
 from pyspark.sql import functions as F
 
@@ -42,6 +44,11 @@ def test_one_language():
 
 
 def test_long_texts_are_used_whole():
-    items = tuple(sorted(language_id.dictionaries({"aa": ["alpha beta gamma delta " * 9], "zz": ["omega sigma lambda kappa " * 9]}).items()))
-    tail = " ".join(f"omega sigma lambda kappa{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(4000))
-    assert language_id.classify("alpha beta gamma delta " + tail, items)[0] == "zz"
+    # words count once, so the tail has many different ones; the first block is of the other language
+    syllables = {"aa": ("al", "be", "ga", "de", "ep", "ze", "et", "th"), "zz": ("om", "si", "la", "ka", "mu", "nu", "xi", "ro")}
+    words = {lang: ["".join(p) for p in product(parts, repeat=4)] for lang, parts in syllables.items()}
+    items = tuple(sorted(language_id.dictionaries({lang: [" ".join(w)] for lang, w in words.items()}).items()))
+    head = " ".join(words["aa"][:600])
+    assert len(head) > language_id.BLOCK_BYTES
+    assert language_id.classify(head, items)[0] == "aa"
+    assert language_id.classify(" ".join([head, *words["zz"][:3000]]), items)[0] == "zz"
