@@ -97,7 +97,8 @@ def settling_rounds(tested: DataFrame, rounds: int, stop_at_one: bool = True) ->
     A variable is settled by the first round that accepts or rejects it and
     leaves the search. With ``stop_at_one`` the search ends as soon as a single
     variable is left, so that one keeps the bins of the last round that ran and
-    stays unresolved, like any variable that no round settles.
+    stays unresolved, like any variable that no round settles. A search that
+    begins with one variable runs one round and keeps that round's status.
     """
     per_round = tested.select("variable", "round", "status").distinct()
     settled = per_round.groupBy("variable").agg(
@@ -111,7 +112,7 @@ def settling_rounds(tested: DataFrame, rounds: int, stop_at_one: bool = True) ->
             Window.unboundedPreceding, Window.unboundedFollowing
         )
         settled = settled.withColumn("second", F.nth_value("settled", 2).over(latest_first))
-        last = F.least(F.lit(rounds), F.coalesce("second", F.lit(0)))
+        last = F.least(F.lit(rounds), F.coalesce("second", F.lit(1)))
     return settled.select("variable", F.least(F.col("settled"), last).alias("round"))
 
 

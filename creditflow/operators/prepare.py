@@ -54,9 +54,10 @@ def sample_window(
 def column_kinds(df: DataFrame, dictionary: DataFrame) -> dict[str, str]:
     """Each column's kind: ``Numerical`` or ``Categorical`` by the dictionary, else ``Others``.
 
-    The dictionary has one row per column, so it fits on the driver.
+    Only the entries of the table's own columns are read, so any dictionary will do.
     """
-    rows = dictionary.select("variables", "Type").limit(config.MAX_PARAMETER_ROWS).collect()
+    wanted = sorted({name.upper() for name in df.columns})
+    rows = dictionary.where(F.upper("variables").isin(wanted)).select("variables", "Type").distinct().collect()
     return kinds_by_name(df.columns, {r["variables"]: r["Type"] for r in rows})
 
 

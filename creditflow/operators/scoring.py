@@ -30,12 +30,7 @@ def model_table(spark: SparkSession, model_no: int, constant: float, coefficient
 
 def model_coefficients(models: DataFrame, model_no: int) -> tuple[float, dict[str, float]]:
     """One model's constant and coefficients; a model has one row per variable."""
-    rows = (
-        models.where(F.col("model_no") == model_no)
-        .select("variable", "coef")
-        .limit(config.MAX_PARAMETER_ROWS)
-        .collect()
-    )
+    rows = models.where(F.col("model_no") == model_no).select("variable", "coef").collect()
     if not rows:
         raise ValueError(f"no model {model_no}")
     constant = sum(r["coef"] for r in rows if r["variable"] == CONSTANT)

@@ -82,3 +82,9 @@ def test_round_counts_leave_out_settled_variables(spark):
     tested = spark.createDataFrame(rows, "variable string, round int, status string")
     got = {(r["round"], r["status"]): r["variables"] for r in bin_tests.round_counts(tested, 3).collect()}
     assert got == {(1, "accepted"): 1, (1, "unresolved"): 2, (2, "accepted"): 1, (2, "unresolved"): 1}
+
+
+def test_search_of_one_variable_keeps_its_first_round(spark):
+    rows = [("V", 1, "unresolved"), ("V", 2, "accepted")]
+    tested = spark.createDataFrame(rows, "variable string, round int, status string")
+    assert [tuple(r) for r in bin_tests.final_round(tested, 2).select("variable", "round", "status").collect()] == [("V", 1, "unresolved")]

@@ -221,3 +221,9 @@ def test_report_counts_do_not_need_a_second_pass(spark):
     direct = {(r["variable"], r["bin_order"]): (r["n"], r["bad"]) for r in binning.count_bins(train, cuts).collect()}
     assert {(r["variable"], r["bin_order"]): (r["count"], r["bad"]) for r in found.collect()} == direct
     assert len(full.columns) == 23 and full.where("Gini_train IS NULL").count() == 0
+
+
+def test_large_model_is_used_whole(spark):
+    rows = spark.range(150_000).selectExpr("cast(3 AS bigint) AS model_no", "concat('v', id, '_woe') AS variable", "cast(id AS double) AS coef")
+    constant, coefficients = scoring.model_coefficients(rows, 3)
+    assert constant == 0 and len(coefficients) == 150_000 and sum(coefficients.values()) == 150_000 * 149_999 / 2

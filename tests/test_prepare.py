@@ -91,3 +91,9 @@ def test_window_bounds_reach_the_scan(spark, tmp_path, capsys):
 def test_suffix_removal(spark):
     df = spark.createDataFrame([("SIZE_woe",), ("low_woe",), ("A_WOE",)], "name string")
     assert [r[0] for r in df.select(woe.raw_name("name")).collect()] == ["SIZE", "low", "A"]
+
+
+def test_large_dictionary_is_used_whole(spark):
+    large = spark.range(150_000).selectExpr("concat('V', id) AS variables", "'Numerical' AS Type")
+    df = spark.createDataFrame([(1.0, 2.0, 3.0)], "v149999 double, V7 double, OTHER double")
+    assert prepare.column_kinds(df, large) == {"v149999": "Numerical", "V7": "Numerical", "OTHER": "Others"}
