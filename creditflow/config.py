@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from creditflow.operators import quality
+
 # Sentinels, thresholds and dates that the results depend on.
 MISSING_NUMERIC = -99999.0
 MISSING_CATEGORY = "missing"
@@ -32,15 +34,10 @@ ID_COLUMNS = ("USER_ID", "LOAN_ID", "DISBURSED_DATE")
 TARGET = "BAD_FLAG"
 OUTCOME_COLUMNS = ("EVER11DPD_IN_90DAYS", "BAD_FLAG", "EVER15DPD_IN_60DAYS")
 
-# Bins, coefficients and the dictionary are brought to the driver to become
-# expressions. They are bounded by variables x bins; more rows than this means
-# that the wrong table was passed.
-MAX_PARAMETER_ROWS = 100_000
-
 
 @dataclass(frozen=True)
 class Dataset:
-    """One lending product: where its sample starts, ends and splits."""
+    """One lending product: where its sample starts, ends and splits, and what its data must satisfy."""
 
     name: str
     start: str = START_DATE
@@ -50,8 +47,9 @@ class Dataset:
     max_recency: int = MAX_RECENCY_DAYS
     target: str = TARGET
     exclude: tuple[str, ...] = field(default=ID_COLUMNS + OUTCOME_COLUMNS)
+    suite: tuple[quality.Expectation, ...] = quality.TEST_SUITE
 
 
 # The two products, over the dates that the test tables cover.
 TRANSACTIONS = Dataset("transactions", "1997-01-01", "2001-07-31", "2000-06-30")
-ACTIVITY = Dataset("activity", "2024-01-01", "2024-01-31", "2024-01-24", recency_column=None)
+ACTIVITY = Dataset("activity", "2024-01-01", "2024-01-31", "2024-01-24", recency_column=None, suite=quality.ACTIVITY_SUITE)

@@ -96,15 +96,17 @@ def variable_histogram(
     by: Sequence[str] = (),
     special: Sequence[float] = (config.MISSING_NUMERIC,),
     max_share: float = 1.0 / config.FINE_BINS,
+    judged_on: str = "true",
 ) -> DataFrame:
     """Bucket counts per (by..., variable): ``special, start, n, bad, low, high``.
 
-    ``start`` is null in the special bucket.
+    ``start`` is null in the special bucket. ``judged_on``, a condition on ``by``, says whose rows
+    decide which buckets are counted again with more digits; all rows are counted in them.
     """
     long = long_form(df, features, target, by).withColumn("special", F.expr(is_special("value", special)))
     counts = stage(_count(long, by, DIGIT_STEPS[0]), "histogram")
     for coarse, fine in zip(DIGIT_STEPS, DIGIT_STEPS[1:]):
-        heavy = _heavy_buckets(counts, max_share)
+        heavy = _heavy_buckets(counts.where(judged_on), max_share)
         variables = [r["variable"] for r in heavy.select("variable").distinct().collect()]
         if not variables:
             break

@@ -29,11 +29,15 @@ class Expectation:
         return cls(expectation_type, kwargs["column"], low, high)
 
 
-# The suite that both products run after imputation.
+# The suites that the products run after imputation.
 TEST_SUITE = (
     Expectation(UNIQUE_BETWEEN, "MONTHS_SINCE_LAST_TXN"),
     Expectation(MIN_BETWEEN, "TOTAL_CUSTOMERS", 1, 1),
 )
+ACTIVITY_SUITE = (
+    Expectation(UNIQUE_BETWEEN, "DAYS_SINCE_LAST_FACT"),
+    Expectation(MIN_BETWEEN, "TOTAL_FACTS", 0),
+)
 
 
 def _observed(check: Expectation, approximate: bool) -> Column:

@@ -17,14 +17,11 @@ NEUTRAL = 0.0
 
 
 def woe_table(bins: DataFrame) -> dict[str, dict]:
-    """Per variable: cut points, WOE of the ordinary bins, WOE of the special bin."""
-    rows = (
-        bins.select("variable", "bin_order", "is_special", "lo", "woe")
-        .limit(config.MAX_PARAMETER_ROWS + 1)
-        .collect()
-    )
-    if len(rows) > config.MAX_PARAMETER_ROWS:
-        raise ValueError("too many bins: pass the fitted bins, not the data")
+    """Per variable: cut points, WOE of the ordinary bins, WOE of the special bin.
+
+    Bins are model parameters (variables x bin limit), so they fit on the driver.
+    """
+    rows = bins.select("variable", "bin_order", "is_special", "lo", "woe").distinct().collect()
     table: dict[str, dict] = {}
     for row in sorted(rows, key=lambda r: (r["variable"], r["bin_order"])):
         entry = table.setdefault(row["variable"], {"cuts": [], "woe": [], "special": NEUTRAL})

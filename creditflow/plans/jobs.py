@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
@@ -12,7 +13,7 @@ from creditflow import config
 from creditflow.operators import bin_tests, binning, performance, prepare, quality, report, scoring, woe
 from creditflow.operators.histogram import variable_histogram
 from creditflow.session import stage
-from creditflow.sources.tables import append_results, write_table
+from creditflow.sources.tables import append_results, read_bins, read_model, write_bin_reports, write_model, write_table
 
 
 def with_train_woe(counts: DataFrame) -> DataFrame:
@@ -53,9 +54,9 @@ def extract(base: DataFrame, dictionary: DataFrame, data: config.Dataset) -> Dat
     return prepare.impute(sample, prepare.column_kinds(sample, dictionary))
 
 
-def check(imputed: DataFrame, run_id: str, fail_on_error: bool = False, suite=quality.TEST_SUITE) -> DataFrame:
-    """Run the data-quality suite; a failure stops the run only if asked to."""
-    results = quality.run_suite(imputed, suite, run_id)
+def check(imputed: DataFrame, run_id: str, path: str, suite, fail_on_error: bool = False) -> DataFrame:
+    """Run the data-quality suite and record it; a failure stops the run only if asked to, and after the record."""
+    results = append_results(quality.run_suite(imputed, suite, run_id), path)
     if fail_on_error:
         quality.require_success(results)
     return results
@@ -65,10 +66,11 @@ def fit_report(imputed: DataFrame, dictionary: DataFrame, features: Sequence[str
     """Bins settled on the train part, and their report with train and OOT Gini.
 
     Train and out-of-time rows share one histogram pass. Bins start at grid
-    numbers, so the out-of-time buckets fall into them exactly.
+    numbers, so the out-of-time buckets fall into them exactly. Only train rows
+    decide how fine the buckets are, so out-of-time rows never change the bins.
     """
     marked = prepare.with_split(imputed, data.split).where(F.col("split").isNotNull())
-    counts = variable_histogram(marked, features, data.target, by=["split"])
+    counts = variable_histogram(marked, features, data.target, by=["split"], judged_on="split = 'train'")
     tested = search_trace(counts.where(F.col("split") == "train"))
     found = bin_tests.final_round(tested, len(config.SEARCH_ROUNDS))
     edges = F.broadcast(found.select("variable", "bin_order", "is_special", "lo", "hi"))
@@ -93,17 +95,22 @@ def run(
     models: DataFrame | None = None,
     trees: PipelineModel | None = None,
     fail_on_error: bool = False,
-    suite=quality.TEST_SUITE,
+    suite=None,
+    run_id: str | None = None,
 ) -> dict[str, str]:
-    """All stages for one product. Every stage is written once and read by the next."""
+    """All stages for one product. Every stage is written once and read by the next.
+
+    ``run_id`` names the run in the data-quality history; a run that is not named gets an id of its own.
+    """
     spark = base.sparkSession
-    stages = ("base", "quality", "categories", "bins", "report", "woe", "scores", "tree_scores")
+    stages = ("base", "quality", "categories", "bins", "bin_reports", "report", "woe", "model", "scores", "tree_scores")
     paths = {n: f"{output}/{data.name}/{n}" for n in stages}
 
     write_table(extract(base, dictionary, data), paths["base"])
     imputed = spark.read.parquet(paths["base"])
 
-    append_results(check(imputed, data.name, fail_on_error, suite), paths["quality"])
+    suite = data.suite if suite is None else suite
+    check(imputed, run_id or uuid.uuid4().hex, paths["quality"], suite, fail_on_error)
 
     kinds = prepare.column_kinds(imputed, dictionary)
     numbers = prepare.candidate_features(imputed, kinds, exclude=data.exclude)
@@ -112,10 +119,11 @@ def run(
     if categories:
         train, _ = prepare.train_and_oot(imputed, data.split)
         binning.category_scores(train, categories, data.target).write.mode("overwrite").parquet(paths["categories"])
-        scored = binning.score_categories(imputed, categories, spark.read.parquet(paths["categories"]))
+        scored = stage(binning.score_categories(imputed, categories, spark.read.parquet(paths["categories"])), "scored")
     bins, full_report = fit_report(scored, dictionary, [*numbers, *categories], data)
     bins.write.mode("overwrite").parquet(paths["bins"])
     full_report.write.mode("overwrite").parquet(paths["report"])
+    write_bin_reports(spark.read.parquet(paths["bins"]), paths["bin_reports"])
 
     accepted = spark.read.parquet(paths["bins"]).where(F.col("status") == "accepted")
     table = woe.woe_table(accepted)
@@ -126,7 +134,35 @@ def run(
         train, _ = prepare.train_and_oot(transformed, data.split)
         models = scoring.fit_scorecard(train, [f"{v}_woe".upper() for v in table])
     if models is not None:
-        write_table(scoring.score_scorecard(transformed, models), paths["scores"])
+        write_model(models, paths["model"])
+        write_table(scoring.score_scorecard(transformed, read_model(spark, paths["model"])), paths["scores"])
     if trees is not None:
         write_table(scoring.score_trees(imputed, trees), paths["tree_scores"])
     return paths
+
+
+def apply_saved(
+    base: DataFrame,
+    dictionary: DataFrame,
+    data: config.Dataset,
+    saved: dict[str, str],
+    output: str,
+    model_no: int = config.MODEL_NO,
+) -> dict[str, str]:
+    """Transform and score a later batch with the bins and the model of an earlier run, without fitting.
+
+    ``saved`` has the paths that ``run`` returned: its ``bins``, its ``model``, and its ``categories``
+    if any accepted bin is of a category.
+    """
+    spark = base.sparkSession
+    paths = {n: f"{output}/{data.name}/{n}" for n in ("woe", "scores")}
+    imputed = extract(base, dictionary, data)
+    table = woe.woe_table(read_bins(spark, saved["bins"]).where(F.col("status") == "accepted"))
+    kinds = prepare.column_kinds(imputed, dictionary)
+    categories = [c for c in prepare.candidate_features(imputed, kinds, "Categorical", data.exclude) if c in table]
+    if categories:
+        imputed = binning.score_categories(imputed, categories, spark.read.parquet(saved["categories"]))
+    write_table(woe.woe_wide(imputed, table, keep=("LOAN_ID", "USER_ID", "DISBURSED_DATE")), paths["woe"])
+    transformed = spark.read.parquet(paths["woe"])
+    write_table(scoring.score_scorecard(transformed, read_model(spark, saved["model"]), model_no), paths["scores"])
+    return paths

@@ -646,6 +646,10 @@ def oracle_sql() -> dict[str, str]:
 WHERE DISBURSED_DATE BETWEEN DATE '{data.start}' AND DATE '{data.end}' AND DAYS_SINCE_LAST_TXN <= {data.max_recency}""",
         "dictionary_kind": dictionary_kind(),
         "impute_numeric": base_cte(numeric) + f"SELECT LOAN_ID, BAD_FLAG, {imputed} FROM base",
+        "job_extract": base_cte(q.JOB_COLUMNS)
+        + f"""SELECT LOAN_ID, DISBURSED_DATE, BAD_FLAG, coalesce(nullif(SEGMENT, '--'), 'missing') AS SEGMENT,
+{", ".join(f"{r6(f'coalesce({n}, -99999)')} AS {n}" for n in q.JOB_COLUMNS)} FROM base
+WHERE DISBURSED_DATE BETWEEN DATE '{data.start}' AND DATE '{data.end}' AND DAYS_SINCE_LAST_TXN <= {data.max_recency}""",
         "impute_categorical": base_cte([])
         + """SELECT USER_ID, LOAN_ID, DISBURSED_DATE, BAD_FLAG,
 CASE WHEN SEGMENT IS NULL OR SEGMENT = '--' THEN 'missing' ELSE SEGMENT END AS SEGMENT FROM base""",
@@ -673,12 +677,14 @@ status FROM tested""",
         "woe_apply_long": STATS
         + f"SELECT LOAN_ID, b.BAD_FLAG, variable, {r6('woe')} AS woe FROM binned b JOIN stats USING (variable, bin_order)",
         "woe_apply_wide": woe_apply_wide(),
+        "apply_saved_bins": woe_apply_wide(),
         "univariate_auc": SPLIT_STATS + AUC + f"SELECT split, variable, {r6('auc')} AS auc FROM auc",
         "gini_train_oot": SPLIT_STATS + AUC
         + f"""SELECT var, {r6('Gini_train')} AS Gini_train, {r6('Gini_oot')} AS Gini_oot, {r6('Relative_diff')} AS Relative_diff
 FROM performance""",
         "bin_trend_report": bin_trend_report(),
         "scorecard_score": scorecard_score(),
+        "score_saved_model": scorecard_score(),
         "dq_min_between": base_cte(["TOTAL_CUSTOMERS", "TOTAL_TRXNS", "DAYS_SINCE_LAST_TXN"])
         + " UNION ALL ".join(
             [
@@ -695,6 +701,13 @@ FROM performance""",
         + expectation("suite", UNIQUE, "MONTHS_SINCE_LAST_TXN", None, None, distinct("MONTHS_SINCE_LAST_TXN"))
         + " UNION ALL " + expectation("suite", MIN, "TOTAL_CUSTOMERS", 1, 1, filled("TOTAL_CUSTOMERS"))
         + ") SELECT *, (SELECT bool_and(success) FROM results) AS run_success FROM results",
+        "dq_history": base_cte(["TOTAL_TRXNS"])
+        + ", results AS ("
+        + expectation("first", MIN, "TOTAL_TRXNS", -99999, None, filled("TOTAL_TRXNS"))
+        + " UNION ALL " + expectation("first", UNIQUE, "BAD_FLAG", 2, 2, "count(DISTINCT BAD_FLAG)")
+        + " UNION ALL " + expectation("second", MIN, "TOTAL_TRXNS", 1000000, None, filled("TOTAL_TRXNS"))
+        + " UNION ALL " + expectation("second", UNIQUE, "BAD_FLAG", 2, 2, "count(DISTINCT BAD_FLAG)")
+        + ") SELECT *, bool_and(success) OVER (PARTITION BY run_id) AS run_success FROM results",
         "dq_latest_batch": base_cte(["TOTAL_TRXNS"])
         + """, newest AS (
   SELECT * FROM base WHERE strftime(DISBURSED_DATE, '%Y-%m') = (SELECT max(strftime(DISBURSED_DATE, '%Y-%m')) FROM base)

@@ -11,9 +11,9 @@ from creditflow import config
 from creditflow.operators import bin_tests, binning, features, performance, prepare, quality, report, scoring, woe
 from creditflow.operators.histogram import variable_histogram
 from creditflow.plans import jobs
-from creditflow.session import stage
+from creditflow.session import new_path, stage
 from creditflow.sources import datasets
-from creditflow.sources.tables import latest_batch
+from creditflow.sources.tables import append_results, latest_batch, read_bins, read_history, read_model, write_model
 
 # Cut points for the queries that check the statistics at known bins.
 FIXED_CUTS = {
@@ -84,6 +84,16 @@ def sample_window_filter(spark, sf):
     return sample.select("LOAN_ID", "USER_ID", "DISBURSED_DATE", "BAD_FLAG", "DAYS_SINCE_LAST_TXN")
 
 
+JOB_COLUMNS = ("DAYS_SINCE_LAST_TXN", "TOTAL_TRXNS", "TOTAL_TXN_AMNT", "AVG_TRAN_SIZE_3_MNTH_MONTHLY")
+
+
+def job_extract(spark, sf):
+    """The extract job: sample window and recency, then imputation."""
+    base = datasets.transaction_base(spark, sf, ("core",))
+    sample = jobs.extract(base, datasets.transaction_dictionary(spark), config.TRANSACTIONS)
+    return round_doubles(sample.select("LOAN_ID", "DISBURSED_DATE", "BAD_FLAG", "SEGMENT", *JOB_COLUMNS))
+
+
 def dictionary_kind(spark, sf):
     """Kind, expected trend and filled rows of every column of the base."""
     base = _base(spark, sf)
@@ -200,6 +210,15 @@ def woe_apply_wide(spark, sf):
     return round_doubles(woe.woe_wide(*_fitted(spark, sf)))
 
 
+def apply_saved_bins(spark, sf):
+    """Bins are fitted and saved; the transformation reads them back and fits nothing."""
+    imputed = stage(_imputed(spark, sf).select(*config.ID_COLUMNS, "BAD_FLAG", *FIXED_CUTS), "base")
+    counts = binning.with_edges(binning.count_bins(imputed, FIXED_CUTS), binning.bins_from_cuts(spark, FIXED_CUTS))
+    path = new_path(spark, "saved-bins")
+    binning.bin_statistics(counts).write.parquet(path)
+    return round_doubles(woe.woe_wide(imputed, woe.woe_table(read_bins(spark, path))))
+
+
 def _split_counts(spark, sf) -> DataFrame:
     """Counts per (split, variable, bin) with the WOE fitted on the train part."""
     marked = prepare.with_split(_imputed(spark, sf), config.TRANSACTIONS.split)
@@ -237,6 +256,17 @@ def scorecard_score(spark, sf):
     return round_doubles(scoring.score_scorecard(frame, models, keep=keep))
 
 
+def score_saved_model(spark, sf):
+    """Two models are saved in one table; scoring reads it back and picks one by its number."""
+    imputed, table = _fitted(spark, sf, {v[:-4]: FIXED_CUTS[v[:-4]] for v in SCORECARD})
+    other = scoring.model_table(spark, config.MODEL_NO + 1, 1.0, dict.fromkeys(SCORECARD, -1.0))
+    path = new_path(spark, "saved-model")
+    write_model(scoring.model_table(spark, config.MODEL_NO, SCORECARD_CONSTANT, SCORECARD).unionByName(other), path)
+    frame = scoring.model_frame(imputed, woe.woe_wide(imputed, table), list(SCORECARD))
+    keep = [*config.ID_COLUMNS, "BAD_FLAG", *[v[:-4] for v in SCORECARD]]
+    return round_doubles(scoring.score_scorecard(frame, read_model(spark, path), keep=keep))
+
+
 def scorecard_fit(spark, sf):
     """Fit on the train part's WOE columns; the result is the coefficient table."""
     train, _ = prepare.train_and_oot(_imputed(spark, sf), config.TRANSACTIONS.split)
@@ -345,6 +375,18 @@ def dq_suite(spark, sf):
     return quality.with_run_success(quality.run_suite(_quality_base(spark, sf), quality.TEST_SUITE, "suite"))
 
 
+def dq_history(spark, sf):
+    """Two recorded runs, one of which fails, with the outcome of each run."""
+    imputed = stage(_imputed(spark, sf).select("TOTAL_TRXNS", "BAD_FLAG"), "base")
+    path = new_path(spark, "quality")
+    flags = quality.Expectation(quality.UNIQUE_BETWEEN, "BAD_FLAG", 2, 2)
+    good = [quality.Expectation(quality.MIN_BETWEEN, "TOTAL_TRXNS", -99999, None), flags]
+    bad = [quality.Expectation(quality.MIN_BETWEEN, "TOTAL_TRXNS", 1000000, None), flags]
+    schema = append_results(quality.run_suite(imputed, good, "first"), path).schema
+    append_results(quality.run_suite(imputed, bad, "second"), path)
+    return quality.with_run_success(read_history(spark, path, schema))
+
+
 def dq_latest_batch(spark, sf):
     monthly = _imputed(spark, sf).withColumn("batch", F.date_format("DISBURSED_DATE", "yyyy-MM"))
     checks = [
@@ -465,5 +507,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         feat_txn_size, feat_counterparty, feat_settlement_ageing, feat_settlement_averages,
         feat_recovery_ratios, activity_features, activity_woe_iv, variable_histogram_grid, woebin_fit,
         woebin_search, search_round_counts, category_bins, scorecard_fit, gbt_score, pca_components,
+        job_extract, apply_saved_bins, score_saved_model, dq_history,
     )
 }

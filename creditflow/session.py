@@ -35,6 +35,11 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path under the shared folder that nothing else uses."""
+    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a columnar table and read it back.
 
@@ -42,6 +47,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     computed once, later jobs read only the columns they need, and a lost
     executor costs a re-read instead of the whole lineage.
     """
-    path = f"{staging_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -130,8 +130,9 @@ def counterparty_events(orders: DataFrame, lineitem: DataFrame, supplier: DataFr
     """Dealings with suppliers: first seen, still active, and volume if on the platform.
 
     The lines meet their orders first and shrink to one row per (user, supplier,
-    day) right after, so an order or a supplier with very many lines is only a
-    skewed join side that the adaptive planner splits, never a group.
+    day) right after. Neighbouring days are found within (user, supplier), and
+    only then is the supplier looked up: nothing needs that join's partitioning,
+    so the adaptive planner can split a supplier with very many lines.
     """
     platform = supplier.select(
         F.col("s_suppkey").alias("supplier_id"), (F.col("s_acctbal") >= 0).alias("platform")
@@ -143,11 +144,10 @@ def counterparty_events(orders: DataFrame, lineitem: DataFrame, supplier: DataFr
         lines.join(orders.select("order_id", "user_id", "day"), "order_id")
         .groupBy("user_id", "supplier_id", "day")
         .agg(F.count("*").alias("n"), F.sum("c").alias("c"))
-        .join(platform, "supplier_id", "left")
-        .withColumn("platform", F.coalesce("platform", F.lit(False)))
     )
     w = Window.partitionBy("user_id", "supplier_id").orderBy("day")
-    marked = uses.withColumn("previous", F.lag("day").over(w)).withColumn("next", F.lead("day").over(w))
+    neighbours = uses.withColumn("previous", F.lag("day").over(w)).withColumn("next", F.lead("day").over(w))
+    marked = neighbours.join(platform, "supplier_id", "left").withColumn("platform", F.coalesce("platform", F.lit(False)))
     on = F.col("platform").cast("bigint")
     zero = F.lit(0).cast("bigint")
     is_new = F.col("previous").isNull().cast("bigint")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -120,9 +121,33 @@ def write_bin_reports(bins: DataFrame, folder: str) -> None:
         )
 
 
-def append_results(results: DataFrame, path: str) -> None:
-    """Keep the history of data-quality runs."""
+def write_model(models: DataFrame, path: str) -> None:
+    """Save a model table in the form that ``read_model`` reads."""
+    models.write.mode("overwrite").csv(path, header=True)
+
+
+def read_history(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All recorded data-quality runs; empty before the first."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def append_results(results: DataFrame, path: str) -> DataFrame:
+    """Add one run to the history of data-quality runs and return its rows as recorded.
+
+    The run id is part of the key, so a run that is already recorded is refused.
+    """
+    spark = results.sparkSession
+    runs = [r["run_id"] for r in results.select("run_id").distinct().collect()]
+    known = read_history(spark, path, results.schema).where(F.col("run_id").isin(runs)).select("run_id").first()
+    if known is not None:
+        raise ValueError(f"run {known['run_id']} is already recorded")
     results.write.mode("append").parquet(path)
+    return read_history(spark, path, results.schema).where(F.col("run_id").isin(runs))
 
 
 def preview(df: DataFrame, rows: int = 5) -> tuple[tuple[int, int], DataFrame]:
@@ -138,5 +163,4 @@ def latest_batch(df: DataFrame, batch_column: str | None) -> DataFrame:
     """
     if batch_column is None:
         return df
-    newest = df.agg(F.max(batch_column).alias("newest"))
-    return df.join(F.broadcast(newest), F.col(batch_column) == F.col("newest"), "left_semi")
+    return df.where(df[batch_column] == df.agg(F.max(batch_column)).scalar())

@@ -192,19 +192,20 @@ def test_transactions_end_to_end(spark, tmp_path):
     assert read("woe").count() == read("base").count() == read("scores").count() == 273
     assert len([c for c in read("woe").columns if c.endswith("_WOE")]) == accepted
     assert read("scores").where("P_BAD <= 0 OR P_BAD >= 1 OR P_BAD IS NULL").count() == 0
-    tables.write_bin_reports(bins, str(tmp_path / "csv"))
     written = sum(
-        spark.read.csv(f"{tmp_path}/csv/{s}_bins", header=True).count()
+        spark.read.csv(f"{paths['bin_reports']}/{s}_bins", header=True).count()
         for s in ("accepted", "rejected", "unresolved")
         if bins.where(F.col("status") == s).count()
     )
     assert written == bins.count()
+    # the saved bins and model give the same batch the same scores
+    again = jobs.apply_saved(base, datasets.transaction_dictionary(spark), data, paths, str(tmp_path / "later"))
+    assert sorted(spark.read.parquet(again["scores"]).collect()) == sorted(read("scores").collect())
 
 
 def test_activity_end_to_end(spark, tmp_path):
     base = datasets.activity_base(spark, SF)
-    suite = [quality.Expectation(quality.MIN_BETWEEN, "TOTAL_FACTS", 0, None)]
-    paths = jobs.run(base, datasets.activity_dictionary(spark), config.ACTIVITY, str(tmp_path), suite=suite)
+    paths = jobs.run(base, datasets.activity_dictionary(spark), config.ACTIVITY, str(tmp_path), run_id="may")
     assert spark.read.parquet(paths["woe"]).count() == 199
     assert spark.read.parquet(paths["quality"]).first()["success"]
 
@@ -223,6 +224,41 @@ def test_report_counts_do_not_need_a_second_pass(spark):
     assert len(full.columns) == 23 and full.where("Gini_train IS NULL").count() == 0
 
 
+def test_out_of_time_rows_do_not_change_the_bins(spark):
+    """Crowded out-of-time values once merged or refined the buckets that the bins are made of."""
+    train = spark.range(4000).selectExpr("1000 + id % 400 / 7.0D AS x", "id % 13 AS z", "cast(hash(id) % 5 < (id % 400) / 130 AS int) AS BAD_FLAG", "DATE'2000-01-01' AS DISBURSED_DATE")
+    late = spark.range(50).selectExpr("1000 + id / 3D AS x", "id % 13 AS z", "cast(id % 2 AS int) AS BAD_FLAG", "DATE'2001-01-01' AS DISBURSED_DATE")
+    crowd = spark.range(40_000).selectExpr("5D + id % 3 AS x", "id % 5 AS z", "cast(id % 2 AS int) AS BAD_FLAG", "DATE'2001-01-01' AS DISBURSED_DATE")
+    words = datasets.transaction_dictionary(spark)
+
+    def bins(rows):
+        found, _ = jobs.fit_report(rows, words, ["x", "z"], config.TRANSACTIONS)
+        return sorted(map(str, found.select("variable", "bin_order", "lo", "hi", "count", "bad", "status").collect()))
+
+    alone = bins(train.unionByName(late))
+    assert len(alone) > 2 and alone == bins(train.unionByName(late).unionByName(crowd))
+
+
+def test_failing_run_is_recorded_and_not_repeated(spark, tmp_path):
+    df, path = spark.range(3).toDF("c"), str(tmp_path / "history")
+    suite = [quality.Expectation(quality.MIN_BETWEEN, "c", 1)]
+    with pytest.raises(ValueError, match="data quality"):
+        jobs.check(df, "monday", path, suite, fail_on_error=True)
+    assert [(r["run_id"], r["success"]) for r in spark.read.parquet(path).collect()] == [("monday", False)]
+    with pytest.raises(ValueError, match="already recorded"):
+        jobs.check(df, "monday", path, suite)
+    jobs.check(df.where("c > 0"), "tuesday", path, suite)
+    assert {r["run_id"]: r["success"] for r in quality.run_success(spark.read.parquet(path)).collect()} == {"monday": False, "tuesday": True}
+
+
+def test_many_bins_are_used_whole(spark):
+    from creditflow.operators import binning, woe
+
+    bins = spark.range(120_000).selectExpr("'x' AS variable", "cast(id + 1 AS int) AS bin_order", "false AS is_special", "cast(id AS double) AS lo", "0.5D AS woe")
+    assert len(binning.cuts_of(bins)["x"]) == 120_000
+    assert len(woe.woe_table(bins)["x"]["woe"]) == 120_000
+
+
 def test_large_model_is_used_whole(spark):
     rows = spark.range(150_000).selectExpr("cast(3 AS bigint) AS model_no", "concat('v', id, '_woe') AS variable", "cast(id AS double) AS coef")
     constant, coefficients = scoring.model_coefficients(rows, 3)

@@ -4,6 +4,7 @@ from creditflow import config
 from creditflow.operators import prepare
 from creditflow.plans.queries import QUERIES
 from creditflow.sources import datasets
+from creditflow.sources.tables import latest_batch, read_given
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,3 +32,26 @@ def test_split_and_impute_do_not_shuffle(spark, capsys, tmp_path):
     kinds = prepare.column_kinds(base, datasets.transaction_dictionary(spark))
     train, _ = prepare.train_and_oot(prepare.impute(base, kinds), config.TRANSACTIONS.split)
     assert "Exchange" not in plan_of(train, capsys)
+
+
+def test_latest_batch_prunes_partitions(spark, capsys, tmp_path):
+    spark.range(20).selectExpr("id", "id % 4 AS batch").write.partitionBy("batch").parquet(str(tmp_path / "batches"))
+    newest = latest_batch(spark.read.parquet(str(tmp_path / "batches")), "batch")
+    assert newest.count() == 5
+    plan = plan_of(newest, capsys)
+    assert any("PartitionFilters" in line and "ubquery" in line for line in plan.splitlines())
+
+
+def test_supplier_is_looked_up_after_the_window(spark, capsys):
+    """So the join's own partitioning is nobody's input, and a supplier with many lines can be split."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        orders = datasets._orders(spark, SF)
+        uses = datasets.counterparty_events(orders, read_given(spark, SF, "lineitem"), read_given(spark, SF, "supplier"))
+        uses.explain("simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    plan = capsys.readouterr().out
+    # a plan prints an operator before its inputs
+    assert plan.index("SortMergeJoin [supplier_id") < plan.index("Window [")
