@@ -37,9 +37,14 @@ def whole_text(text_column: str) -> Column:
 
 
 def shared_groups(outlines: DataFrame) -> DataFrame:
-    """(length, prefix hash) groups of at least two rows; lengths that occur once leave first."""
+    """(length, prefix hash) groups of at least two rows; rows of lengths that occur once leave first.
+
+    The lengths act as a filter of fixed size, so rows are not brought together by length, which copies share. A row
+    that passes it by chance is alone in its group.
+    """
     lengths = outlines.groupBy("length").agg(F.count("*").alias("n")).where("n > 1").select("length")
-    return outlines.join(lengths, "length", "left_semi").groupBy("length", "prefix_hash").agg(F.count("*").alias("n")).where("n > 1")
+    passed = common.with_membership(outlines, lengths, "length").where("may_be_in")
+    return passed.groupBy("length", "prefix_hash").agg(F.count("*").alias("n")).where("n > 1")
 
 
 def candidate_groups(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
