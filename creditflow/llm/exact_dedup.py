@@ -72,7 +72,8 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
     )
     needed = F.col("may_be_in") | F.lit(all_hashes)
     hashed = stage(marked.select("doc_id", "may_be_in", F.when(needed, F.sha2("content", 256)).alias("full_hash")), "text-hashes")
-    repeated = duplicate_groups(hashed.where("may_be_in"))
+    # staged, so that the join shuffles both sides and adaptive execution may split a hash of very many copies
+    repeated = stage(duplicate_groups(hashed.where("may_be_in")), "duplicate-groups")
     return hashed.join(repeated, "full_hash", "left").select(
         "doc_id",
         F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
