@@ -4,9 +4,10 @@ For each language a dictionary of raw text is cut from labelled documents. A tex
 dictionary; the language whose dictionary gives the smallest result is the answer. Where the two smallest results
 lie close together the answer stands but is not accepted.
 
-Texts are reduced to lower-case words of letters, each word once per text, and compressed in blocks, so that the
-dictionary matters to the end of a long text and repetition does not decide. The whole text is used. Null texts
-and texts without letters are ``und`` with score 0 and are not accepted. Ties go to the first language by name.
+Texts are reduced to lower-case words of letters. All words of a text are compressed, in order and in blocks, so that
+the dictionary matters to the end of a long text. Dictionaries hold each word once per labelled document, which leaves
+room for more documents. Null texts and texts without letters are ``und`` with score 0 and are not accepted. Ties go
+to the first language by name.
 Rows are judged one by one, so repeated rows get equal results; an empty table gives an empty result. Without any
 labelled row every text is ``und``.
 """
@@ -39,10 +40,10 @@ NOT_LETTERS = re.compile(r"[\W\d_]+")
 UNDETERMINED = "und"
 
 
-def letters(text: str | None) -> bytes:
-    """The distinct words of letters, lower-cased, in order of appearance; empty if there is none."""
-    words = dict.fromkeys(NOT_LETTERS.sub(" ", (text or "").lower()).split())
-    return (" " + " ".join(words)).encode() if words else b""
+def letters(text: str | None, distinct: bool = False) -> bytes:
+    """The words of letters, lower-cased, in order, all or each once; empty if there is none."""
+    words = NOT_LETTERS.sub(" ", (text or "").lower()).split()
+    return (" " + " ".join(dict.fromkeys(words) if distinct else words)).encode() if words else b""
 
 
 def sample_per_language(labelled: DataFrame, id_column: str, text_column: str, lang_column: str) -> dict[str, list[str]]:
@@ -73,7 +74,7 @@ def dictionaries(texts: dict[str, list[str]]) -> dict[str, bytes]:
         for text in documents:
             if size >= DICTIONARY_BYTES:
                 break
-            pieces.append(letters(text))
+            pieces.append(letters(text, distinct=True))
             size += len(pieces[-1])
         if content := b"".join(pieces)[:DICTIONARY_BYTES]:
             result[lang] = content

@@ -52,3 +52,18 @@ def test_long_texts_are_used_whole():
     assert len(head) > language_id.BLOCK_BYTES
     assert language_id.classify(head, items)[0] == "aa"
     assert language_id.classify(" ".join([head, *words["zz"][:3000]]), items)[0] == "zz"
+
+
+def test_a_tail_of_repeated_words_is_used_whole():
+    items = tuple(sorted(language_id.dictionaries({"aa": ["alpha beta gamma delta " * 9], "zz": ["omega sigma lambda kappa " * 9]}).items()))
+    tail = " ".join(f"omega sigma lambda kappa{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(4000))
+    assert language_id.classify("alpha beta gamma delta " + tail, items)[0] == "zz"
+
+
+def test_repeated_words_count_each_time():
+    # 20,000 running words over a vocabulary of 100 of one language, 300 different words of another listed once
+    syllables = {"aa": ("al", "be", "ga", "de", "ep", "ze", "et", "th"), "zz": ("om", "si", "la", "ka", "mu", "nu", "xi", "ro")}
+    words = {lang: ["".join(p) for p in product(parts, repeat=4)] for lang, parts in syllables.items()}
+    items = tuple(sorted(language_id.dictionaries({lang: [" ".join(w)] for lang, w in words.items()}).items()))
+    running = [words["aa"][i * 37 % 100 * 7] for i in range(20_000)]
+    assert language_id.classify(" ".join(running + words["zz"][:300]), items)[:3:2] == ("aa", True)
