@@ -62,6 +62,19 @@ def check(imputed: DataFrame, run_id: str, path: str, suite, fail_on_error: bool
     return results
 
 
+def score_candidates(imputed: DataFrame, dictionary: DataFrame, data: config.Dataset, path: str) -> tuple[DataFrame, list[str]]:
+    """Categories replaced by their train scores, which are written to ``path``, and all candidate variables."""
+    kinds = prepare.column_kinds(imputed, dictionary)
+    numbers = prepare.candidate_features(imputed, kinds, exclude=data.exclude)
+    categories = prepare.candidate_features(imputed, kinds, "Categorical", data.exclude)
+    if not categories:
+        return imputed, numbers
+    train, _ = prepare.train_and_oot(imputed, data.split)
+    binning.category_scores(train, categories, data.target).write.mode("overwrite").parquet(path)
+    scores = imputed.sparkSession.read.parquet(path)
+    return stage(binning.score_categories(imputed, categories, scores), "scored"), [*numbers, *categories]
+
+
 def fit_report(imputed: DataFrame, dictionary: DataFrame, features: Sequence[str], data: config.Dataset):
     """Bins settled on the train part, and their report with train and OOT Gini.
 
@@ -112,15 +125,8 @@ def run(
     suite = data.suite if suite is None else suite
     check(imputed, run_id or uuid.uuid4().hex, paths["quality"], suite, fail_on_error)
 
-    kinds = prepare.column_kinds(imputed, dictionary)
-    numbers = prepare.candidate_features(imputed, kinds, exclude=data.exclude)
-    categories = prepare.candidate_features(imputed, kinds, "Categorical", data.exclude)
-    scored = imputed
-    if categories:
-        train, _ = prepare.train_and_oot(imputed, data.split)
-        binning.category_scores(train, categories, data.target).write.mode("overwrite").parquet(paths["categories"])
-        scored = stage(binning.score_categories(imputed, categories, spark.read.parquet(paths["categories"])), "scored")
-    bins, full_report = fit_report(scored, dictionary, [*numbers, *categories], data)
+    scored, candidates = score_candidates(imputed, dictionary, data, paths["categories"])
+    bins, full_report = fit_report(scored, dictionary, candidates, data)
     bins.write.mode("overwrite").parquet(paths["bins"])
     full_report.write.mode("overwrite").parquet(paths["report"])
     write_bin_reports(spark.read.parquet(paths["bins"]), paths["bin_reports"])

@@ -762,6 +762,39 @@ scored AS (SELECT BAD_FLAG, score AS SEGMENT FROM filled JOIN scores USING (cate
         + histogram_cte(["SEGMENT"], share, source="scored") + search_cte(one_round)
         + f""" SELECT 'SEGMENT' AS variable, category, {r6('score')} AS score, CAST(bin_order AS INTEGER) AS bin_order, {r6('woe')} AS woe
 FROM scores JOIN stats ON score >= lo AND score < hi"""
+    )
+    sample = f"DISBURSED_DATE BETWEEN DATE '{data.start}' AND DATE '{data.end}' AND DAYS_SINCE_LAST_TXN <= {data.max_recency}"
+    train = f"DISBURSED_DATE <= DATE '{data.split}'"
+    out["job_extract_all"] = (
+        base_cte(all_names)
+        + f"""SELECT LOAN_ID, DISBURSED_DATE, BAD_FLAG, coalesce(nullif(SEGMENT, '--'), 'missing') AS SEGMENT,
+{", ".join(f"{r6(f'coalesce({n}, -99999)')} AS {n}" for n in ['LOAN_AMOUNT', *all_names])} FROM base WHERE {sample}"""
+    )
+    candidates = [*all_names, "LOAN_AMOUNT", "SEGMENT"]
+    job_search = (
+        base_cte(all_names) + f""",
+sampled AS (SELECT * EXCLUDE (SEGMENT), coalesce(nullif(SEGMENT, '--'), 'missing') AS category FROM base WHERE {sample}),
+scores AS (SELECT category, floor(sum(BAD_FLAG) * 1000 / count(*)) / 1000 AS score FROM sampled WHERE {train} GROUP BY category),
+scored AS (SELECT s.*, score AS SEGMENT FROM sampled s LEFT JOIN scores USING (category))"""
+        + histogram_cte(candidates, share, source="scored", where=train)
+        + search_cte(config.SEARCH_ROUNDS) + tests_cte(group="variable, round") + settle_cte(config.SEARCH_ROUNDS)
+    )
+    out["job_bins"] = (
+        job_search + " " + bins.format("CAST(round AS INTEGER) AS round, status, ") + " FROM tested JOIN chosen USING (variable, round)"
+    )
+    out["job_apply_saved"] = (
+        job_search + f""",
+accepted AS (SELECT variable, is_special, lo, hi, woe FROM tested JOIN chosen USING (variable, round) WHERE status = 'accepted'),
+applied AS (
+  UNPIVOT (SELECT LOAN_ID, {', '.join(f'coalesce({v}, -99999)::DOUBLE AS {v}' for v in candidates)} FROM scored)
+  ON {', '.join(candidates)} INTO NAME variable VALUE value
+)
+SELECT LOAN_ID, variable || '_WOE' AS variable, {r6('coalesce(woe, 0)')} AS woe
+FROM (SELECT * FROM applied WHERE variable IN (SELECT variable FROM accepted)) LEFT JOIN accepted USING (variable)
+WHERE CASE WHEN is_special THEN value = -99999 ELSE value <> -99999 AND value >= lo AND value < hi END
+UNION ALL
+SELECT LOAN_ID, variable || '_WOE', 0.0 FROM applied WHERE value = -99999
+AND variable IN (SELECT variable FROM accepted) AND variable NOT IN (SELECT variable FROM accepted WHERE is_special)"""
     )
     out["woebin_fit"] = (
         FIXED_BASE + histogram_cte(q.FIXED_CUTS, share) + search_cte(one_round)

@@ -94,6 +94,20 @@ def job_extract(spark, sf):
     return round_doubles(sample.select("LOAN_ID", "DISBURSED_DATE", "BAD_FLAG", "SEGMENT", *JOB_COLUMNS))
 
 
+def _job_base(spark, sf) -> DataFrame:
+    return datasets.transaction_base(spark, sf, tuple(features.FAMILIES))
+
+
+def _job_sample(spark, sf) -> DataFrame:
+    return jobs.extract(_job_base(spark, sf), datasets.transaction_dictionary(spark), config.TRANSACTIONS)
+
+
+def job_extract_all(spark, sf):
+    """The extract job with the features of all families."""
+    ids = ("LOAN_ID", "DISBURSED_DATE", "BAD_FLAG", "SEGMENT", "LOAN_AMOUNT")
+    return round_doubles(_job_sample(spark, sf).select(*ids, *features.feature_names()))
+
+
 def dictionary_kind(spark, sf):
     """Kind, expected trend and filled rows of every column of the base."""
     base = _base(spark, sf)
@@ -268,12 +282,11 @@ def score_saved_model(spark, sf):
 
 
 def scorecard_fit(spark, sf):
-    """Fit on the train part's WOE columns; the result is the coefficient table."""
-    train, _ = prepare.train_and_oot(_imputed(spark, sf), config.TRANSACTIONS.split)
-    train = stage(train.select("LOAN_ID", "BAD_FLAG", *FIXED_CUTS), "train")
-    counts = binning.with_edges(binning.count_bins(train, FIXED_CUTS), binning.bins_from_cuts(spark, FIXED_CUTS))
-    transformed = stage(woe.woe_wide(train, woe.woe_table(binning.bin_statistics(counts))), "woe")
-    return scoring.fit_scorecard(transformed, [f"{v}_woe" for v in FIXED_CUTS])
+    """Fit on the train part's WOE columns of all accepted variables; the result is the coefficient table."""
+    scored, found, _ = _job_fit(spark, sf)
+    table = woe.woe_table(found.where("status = 'accepted'"))
+    train, _ = prepare.train_and_oot(scored, config.TRANSACTIONS.split)
+    return scoring.fit_scorecard(stage(woe.woe_wide(train, table), "woe"), [f"{v}_woe" for v in table])
 
 
 def gbt_score(spark, sf):
@@ -347,6 +360,42 @@ def category_bins(spark, sf):
     )
 
 
+# --- the fit and apply jobs ----------------------------------------------------------
+
+
+def _job_fit(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The extracted sample with scored categories, the bins of all candidate variables, and their report."""
+    words = datasets.transaction_dictionary(spark)
+    sample = stage(_job_sample(spark, sf), "base")
+    scored, candidates = jobs.score_candidates(sample, words, config.TRANSACTIONS, new_path(spark, "categories"))
+    return scored, *jobs.fit_report(scored, words, candidates, config.TRANSACTIONS)
+
+
+def job_bins(spark, sf):
+    """The bins that the job settles on, for all numbers and categories."""
+    _, found, _ = _job_fit(spark, sf)
+    return round_doubles(
+        found.select("variable", "round", "status", "bin_order", "lo", "hi", "count", "good", "bad", "woe", "total_iv"),
+        keep=("lo", "hi"),
+    )
+
+
+def job_report(spark, sf):
+    """The report of those bins, with train and out-of-time Gini."""
+    _, _, full = _job_fit(spark, sf)
+    return round_doubles(full)
+
+
+def job_apply_saved(spark, sf):
+    """A whole run, then its saved bins, categories and model applied without fitting: (loan, accepted variable, woe)."""
+    words = datasets.transaction_dictionary(spark)
+    base = stage(_job_base(spark, sf), "base")
+    saved = jobs.run(base, words, config.TRANSACTIONS, new_path(spark, "run"))
+    applied = spark.read.parquet(jobs.apply_saved(base, words, config.TRANSACTIONS, saved, new_path(spark, "later"))["woe"])
+    columns = [c for c in applied.columns if c.endswith("_WOE")]
+    return round_doubles(applied.select("LOAN_ID", *columns).unpivot(["LOAN_ID"], columns, "variable", "woe"))
+
+
 # --- data quality -------------------------------------------------------------------
 
 
@@ -507,6 +556,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         feat_txn_size, feat_counterparty, feat_settlement_ageing, feat_settlement_averages,
         feat_recovery_ratios, activity_features, activity_woe_iv, variable_histogram_grid, woebin_fit,
         woebin_search, search_round_counts, category_bins, scorecard_fit, gbt_score, pca_components,
-        job_extract, apply_saved_bins, score_saved_model, dq_history,
+        job_extract, apply_saved_bins, score_saved_model, dq_history, job_extract_all, job_bins, job_report,
+        job_apply_saved,
     )
 }

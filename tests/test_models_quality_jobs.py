@@ -263,3 +263,21 @@ def test_large_model_is_used_whole(spark):
     rows = spark.range(150_000).selectExpr("cast(3 AS bigint) AS model_no", "concat('v', id, '_woe') AS variable", "cast(id AS double) AS coef")
     constant, coefficients = scoring.model_coefficients(rows, 3)
     assert constant == 0 and len(coefficients) == 150_000 and sum(coefficients.values()) == 150_000 * 149_999 / 2
+
+
+def test_job_queries_cover_every_candidate(spark):
+    from creditflow.operators import features
+    from creditflow.plans.queries import QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    found, full = QUERIES["job_bins"](spark, sf), QUERIES["job_report"](spark, sf)
+    candidates = {*features.feature_names(), "LOAN_AMOUNT", "SEGMENT"}
+    assert len(candidates) == 199
+    assert {r["variable"] for r in found.select("variable").distinct().collect()} == candidates
+    key = ["variable", "count", "good", "bad", "woe", "total_iv"]
+    assert sorted(map(str, full.select(key).collect())) == sorted(map(str, found.select(key).collect()))
+    assert full.where("Gini_train IS NULL").count() == 0
+    accepted = {r["variable"] for r in found.where("status = 'accepted'").select("variable").distinct().collect()}
+    assert len(accepted) > 8
+    coefficients = {r["variable"] for r in QUERIES["scorecard_fit"](spark, sf).collect()}
+    assert coefficients == {"const", *(f"{v}_woe" for v in accepted)}
