@@ -28,17 +28,42 @@ BASE_PHRASES = (
 )
 
 # Templates and their labels. Wording follows the public notices.
+MIT = (
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files [[the software]] "
+    "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell "
+    "copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions "
+    "the above copyright notice and this permission notice [[including the next paragraph]] shall be included in all copies or substantial portions of the software "
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability "
+    "fitness for a particular purpose and noninfringement in no event shall <<16>> be liable for any claim damages or other liability "
+    "whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"
+)
+BSD = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
+    "[[1]] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+    "[[2]] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer "
+    "in the documentation and or other materials provided with the distribution "
+    "[[[[3]] neither the name of <<16>> nor the names of its contributors may be used to endorse or promote products derived from this software "
+    "without specific prior written permission]] "
+    "this software is provided by <<16>> as is and any express or implied warranties including but not limited to the implied warranties of merchantability "
+    "and fitness for a particular purpose are disclaimed in no event shall <<16>> be liable for any direct indirect incidental special exemplary "
+    "or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption "
+    "however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise "
+    "arising in any way out of the use of this software even if advised of the possibility of such damage"
+)
 TEMPLATES = (
     ("notice-cc", "licensed under [[a]] [[the]] cc by [[nc]] [[sa]] [[nd]] [[<<2>>]]"),
-    ("notice-cc", "licensed under [[a]] [[the]] creative commons attribution [[noncommercial]] [[sharealike]] [[noderivatives]] [[<<2>>]] [[international]] license"),
+    ("notice-cc", "licensed under [[a]] [[the]] creative commons attribution [[noncommercial]] [[sharealike]] [[noderivatives]] [[<<2>>]] [[international]] [[unported]] [[generic]] [[united states]] [[public]] license"),
     ("notice-gpl", "licensed under the gnu [[lesser]] [[affero]] general public license [[version <<1>>]] [[or any later version]]"),
     ("notice-gpl", "under the terms of the gnu [[lesser]] [[affero]] general public license [[as published by the free software foundation]]"),
-    ("notice-reserved", "copyright [[c]] <<8>> all rights reserved"),
+    ("notice-reserved", "copyright [[© <<24>>]] [[c <<24>>]] <<8>> all rights reserved"),
     ("notice-mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
     ("notice-mit", "licensed under the mit license"),
     ("notice-mit", "released under the mit license"),
     ("notice-apache", "licensed under the apache license version <<2>>"),
     ("notice-bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
+    # the whole mandatory wording
+    ("license-mit", MIT),
+    ("license-bsd", BSD),
 )
 
 RESULT = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans array<struct<label:string,start:long,length:long>>"

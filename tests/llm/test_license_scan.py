@@ -78,3 +78,26 @@ def test_hard_rows(spark):
     got = license_scan.scan_licenses(documents(spark, clashing=True)).collect()
     assert len(got) == 13 and all(r["labels"] is not None and r["score"] == 0 for r in got)
     assert license_scan.scan_licenses(documents(spark, [])).count() == 0
+
+
+def test_long_holders_and_license_names():
+    holder = "1982, 1986, 1990, 1991, 1993 The Regents of the University of California"
+    assert scan(f"Copyright (c) {holder}. All rights reserved.")["spans"] == [{"label": "notice-reserved", "start": 0, "length": 17}]
+    assert scan(f"Copyright © {holder}. All rights reserved.")["labels"] == "notice-reserved,reserved"
+    for name in ("4.0 International", "3.0 Unported", "2.5 Generic", "3.0 United States", "4.0 International Public"):
+        assert scan(f"licensed under a Creative Commons Attribution-ShareAlike {name} License")["labels"] == "notice-cc", name
+
+
+def plain(template):
+    """A text of the template with its optional regions and with names in its free ones."""
+    return re.sub(r"<<\d+>>", "Some Body", re.sub(r"\[\[|\]\]", "", template))
+
+
+@pytest.mark.parametrize(("label", "template"), [("mit", "MIT"), ("bsd", "BSD")])
+def test_whole_licenses(label, template):
+    text = plain(getattr(license_scan, template))
+    assert scan(text)["labels"] == f"license-{label},notice-{label}"
+    assert max(s["length"] for s in scan(text)["spans"]) == len(text.split())
+    # changed wording after the first sentence
+    assert scan(text.replace("be liable", "always be liable to pay"))["labels"] == f"notice-{label}"
+    assert scan(text.rsplit(" ", 1)[0])["labels"] == f"notice-{label}"
