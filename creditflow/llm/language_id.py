@@ -18,7 +18,7 @@ import re
 from functools import cache
 
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditflow.llm import common
@@ -26,7 +26,6 @@ from creditflow.llm import common
 # Labelled documents that a dictionary is cut from, at most, per language; and its size in bytes.
 MAX_DOCUMENTS = 256
 DICTIONARY_BYTES = 112 * 1024
-MAX_LANGUAGES = 256
 BLOCK_BYTES = 4096
 # So much of the dictionary's end goes before a text: very short texts would else be stored as they are.
 LEAD_BYTES = 256
@@ -47,25 +46,34 @@ def letters(text: str | None, distinct: bool = False) -> bytes:
 
 
 def sample_per_language(labelled: DataFrame, id_column: str, text_column: str, lang_column: str) -> dict[str, list[str]]:
-    """Up to ``MAX_DOCUMENTS`` texts of each language, drawn by a hash of the id."""
+    """The words of up to ``MAX_DOCUMENTS`` texts of each language, drawn by a hash of the id.
+
+    Texts are reduced to what a dictionary can hold and ranked within their language before they are collected, so
+    the driver gets about two dictionaries a language at most, however long texts are.
+    """
     rows = labelled.select(F.col(lang_column).alias("lang"), F.col(text_column).alias("text"), F.xxhash64(id_column).alias("draw"))
     rows = rows.where("lang is not null and text is not null")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"over {MAX_LANGUAGES} languages: wrong label column?")
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).select(F.col("lang").alias("of"), "n")
     # about twice as many as needed pass by the hash alone, so that no language is ever sorted whole
-    shares = {r["lang"]: min(1.0, 2 * MAX_DOCUMENTS / r["n"]) for r in counts}
-    wanted = F.lit(False)
-    for lang, share in shares.items():
-        drawn = F.col("draw") < F.lit(round(share * 2**64) - 2**63) if share < 1 else F.lit(True)
-        wanted = wanted | ((F.col("lang") == lang) & drawn)
-    texts: dict[str, list[str]] = {lang: [] for lang in shares}
-    for r in rows.where(wanted).orderBy("draw", "text").collect():
-        if len(texts[r["lang"]]) < MAX_DOCUMENTS:
-            texts[r["lang"]].append(r["text"])
+    share = F.lit(2.0 * MAX_DOCUMENTS) / F.col("n")
+    drawn = (share >= 1) | (F.col("draw") < F.round(share * F.lit(2.0**64)) - F.lit(2.0**63))
+    few = rows.join(F.broadcast(counts), F.col("lang") == F.col("of")).where(drawn)
+    held = few.select("lang", "draw", common.struct_udf("content string, size long", held_words)(F.col("text")).alias("s")).select("lang", "draw", "s.*")
+    order = Window.partitionBy("lang").orderBy("draw", "content")
+    held = held.withColumn("place", F.row_number().over(order))
+    held = held.withColumn("before", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size"))
+    texts: dict[str, list[str]] = {}
+    for r in sorted(held.where(f"place <= {MAX_DOCUMENTS} and before < {DICTIONARY_BYTES}").collect(), key=lambda r: (r["lang"], r["place"])):
+        texts.setdefault(r["lang"], []).append(r["content"])
     return texts
 
 
+def held_words(text: str | None) -> tuple[str, int]:
+    """A text's distinct words, as many as a dictionary can hold, and their size in bytes."""
+    content = letters(text, distinct=True)[: DICTIONARY_BYTES + 4]
+    return content.decode(errors="ignore"), len(content)
+
+
 def dictionaries(texts: dict[str, list[str]]) -> dict[str, bytes]:
     """Raw dictionary content per language; languages without a letter in their texts are left out."""
     result = {}

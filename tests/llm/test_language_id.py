@@ -67,3 +67,19 @@ def test_repeated_words_count_each_time():
     items = tuple(sorted(language_id.dictionaries({lang: [" ".join(w)] for lang, w in words.items()}).items()))
     running = [words["aa"][i * 37 % 100 * 7] for i in range(20_000)]
     assert language_id.classify(" ".join(running + words["zz"][:300]), items)[:3:2] == ("aa", True)
+
+
+def test_many_languages_and_long_texts(spark):
+    # over 256 labels, and texts of some MB of different words, of which only a dictionary's worth reaches the driver
+    rows = [(i, f"word{chr(97 + i // 26 % 26)}{chr(97 + i % 26)} other", f"l{i}", None, None) for i in range(300)]
+    syllables = ["".join(p) for p in product(("al", "be", "ga", "de", "ep", "ze", "et", "th"), repeat=5)]
+    rows += [(1000 + i, " ".join(syllables), "long", None, None) for i in range(20)]
+    docs = documents(spark, rows)
+    sampled = language_id.sample_per_language(docs, "doc_id", "text", "lang")
+    assert set(sampled) == {r[2] for r in rows}
+    assert sum(len(t.encode()) for t in sampled["long"]) <= 2 * language_id.DICTIONARY_BYTES + 4
+    learned = language_id.learn(docs)
+    assert len(learned) == 301 and len(learned["long"]) == language_id.DICTIONARY_BYTES
+    whole = language_id.dictionaries({"long": [" ".join(syllables)] * 20})
+    assert learned["long"] == whole["long"]
+    assert language_id.learn(docs.repartition(5)) == learned
