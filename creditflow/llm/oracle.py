@@ -26,4 +26,40 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM marked
 """
 
-SQL = {"op5_exact_dedup": OP5, "op9_warc": OP9}
+OP11 = r"""
+WITH rows AS (
+  SELECT row_number() OVER () AS id, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents
+), tokens AS (
+  SELECT id, lang, source,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM rows
+), kept AS (
+  SELECT lang, term, count(*) AS lang_n FROM tokens GROUP BY lang, term HAVING count(DISTINCT id) >= 30
+), sizes AS (
+  SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang
+), groups AS (SELECT DISTINCT lang, source FROM rows),
+counts AS (
+  SELECT lang, source, term, count(*) AS n FROM tokens SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), totals AS (
+  SELECT lang, source, coalesce(sum(n), 0) AS total FROM groups LEFT JOIN counts USING (lang, source) GROUP BY lang, source
+), shares AS MATERIALIZED (
+  SELECT lang, source, term, coalesce(n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)) // (total + 5 * v) AS p,
+         1 + (1000000000::HUGEINT * (lang_n + 5)) // (lang_total + 5 * v) AS lang_p
+  FROM totals JOIN kept USING (lang) JOIN sizes USING (lang) LEFT JOIN counts USING (lang, source, term)
+), apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - lang_p FROM shares WHERE n > 0 AND p > lang_p
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM placed
+WHERE part = 'pair' OR rank <= 50
+"""
+
+SQL = {"op5_exact_dedup": OP5, "op9_warc": OP9, "op11_source_divergence": OP11}

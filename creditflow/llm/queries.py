@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from creditflow.llm import (
     common,
+    divergence,
     exact_dedup,
     language_id,
     license_scan,
@@ -87,10 +88,15 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(docs, model).select("doc_id", held_out, "score", "predicted")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(common.read_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_ngram_jaccard_join, op3_harmonic_packing, op4_toxicity_chain, op5_exact_dedup,
         op6_language_id, op7_license_scan, op8_source_mixing, op9_warc, op10_quality_classifier,
+        op11_source_divergence,
     )
 }
