@@ -62,4 +62,48 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS IN
 WHERE part = 'pair' OR rank <= 50
 """
 
-SQL = {"op5_exact_dedup": OP5, "op9_warc": OP9, "op11_source_divergence": OP11}
+# The hash of the ids is CRC-32, spelled out bit by bit.
+OP12 = """
+WITH ids AS (
+  SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS written FROM conversations WHERE conv_id IS NOT NULL
+), taken AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS first, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(length(written)), lambda i: ascii(substr(written, i + 1, 1))::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))
+  )) % 9 AS h
+  FROM ids
+), keyed AS (
+  SELECT conv_id, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS key, coalesce(strlen(text), 0) AS bytes
+  FROM conversations
+), turns AS (
+  SELECT conv_id, key, bytes, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, key) AS pos FROM keyed
+), rebuilt AS (
+  SELECT taken.conv_id, pos, key, bytes FROM taken JOIN turns ON turns.conv_id = first AND pos <= h
+  UNION ALL
+  SELECT taken.conv_id, pos, key, bytes FROM taken JOIN turns ON turns.conv_id = taken.conv_id AND pos > h
+), prefixes AS MATERIALIZED (
+  SELECT conv_id, row_number() OVER w AS depth, string_agg(key, '') OVER w AS prefix, bytes FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY pos)
+  UNION ALL
+  SELECT conv_id, 0, '', 0 FROM ids
+), nodes AS MATERIALIZED (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes, left(prefix, greatest(0, 32 * (depth - 1))) AS parent
+  FROM prefixes GROUP BY prefix, depth
+), children AS (
+  SELECT parent, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY parent
+), leaves AS (
+  SELECT p.prefix, count(*) AS n FROM nodes u LEFT JOIN children ON children.parent = u.prefix JOIN prefixes p ON p.conv_id = u.conv_id
+  WHERE children.n IS NULL AND p.depth <= u.depth GROUP BY p.prefix
+), saved AS (
+  SELECT p.prefix, sum((u.n_convs - 1) * u.bytes) AS n FROM nodes u JOIN prefixes p ON p.conv_id = u.conv_id AND p.depth <= u.depth GROUP BY p.prefix
+), lasts AS (
+  SELECT conv_id, arg_max(prefix, depth) AS prefix FROM prefixes GROUP BY conv_id
+), ends AS (
+  SELECT prefix, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS hash FROM lasts GROUP BY prefix
+)
+SELECT nodes.conv_id, nodes.depth, above.conv_id AS parent_conv_id, nodes.n_convs, coalesce(children.n, 0) AS n_children, leaves.n AS n_leaves,
+       CAST(saved.n AS BIGINT) AS saved_tokens, coalesce(ends.hash, sha256('')) AS ends_sha256
+FROM nodes JOIN leaves USING (prefix) JOIN saved USING (prefix) LEFT JOIN children ON children.parent = nodes.prefix LEFT JOIN ends USING (prefix)
+LEFT JOIN nodes above ON above.prefix = nodes.parent AND nodes.depth > 0
+"""
+
+SQL = {"op5_exact_dedup": OP5, "op9_warc": OP9, "op11_source_divergence": OP11, "op12_prefix_trie": OP12}

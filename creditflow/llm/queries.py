@@ -16,6 +16,7 @@ from creditflow.llm import (
     license_scan,
     ngram_join,
     packing,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     source_mixing,
@@ -92,11 +93,15 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(common.read_documents(spark, sf_dir))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_ngram_jaccard_join, op3_harmonic_packing, op4_toxicity_chain, op5_exact_dedup,
         op6_language_id, op7_license_scan, op8_source_mixing, op9_warc, op10_quality_classifier,
-        op11_source_divergence,
+        op11_source_divergence, op12_prefix_trie,
     )
 }
