@@ -12,6 +12,7 @@ from creditflow.llm import (
     common,
     divergence,
     exact_dedup,
+    katz,
     language_id,
     license_scan,
     ngram_join,
@@ -30,6 +31,7 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.tiktoken")
 # Rows whose crc32 has these remainders are held out from learning.
 LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 3, 1
 QUALITY_FOLDS, QUALITY_HELD_OUT = 5, 0
+MODEL_FOLDS, MODEL_HELD_OUT = 7, 2
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,11 +99,16 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op13_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = common.crc_remainder("doc_id", MODEL_FOLDS)
+    return katz.score_texts(common.read_documents(spark, sf_dir), remainder != MODEL_HELD_OUT, remainder == MODEL_HELD_OUT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_ngram_jaccard_join, op3_harmonic_packing, op4_toxicity_chain, op5_exact_dedup,
         op6_language_id, op7_license_scan, op8_source_mixing, op9_warc, op10_quality_classifier,
-        op11_source_divergence, op12_prefix_trie,
+        op11_source_divergence, op12_prefix_trie, op13_katz_backoff,
     )
 }
