@@ -45,7 +45,7 @@ from creditflow.session import stage
 ORDER = 2
 LIMIT = 5
 # Tokens of a block, n-grams that a bucket is meant for, occurrences of a context over which it is split.
-BLOCK_TOKENS = 1 << 21
+BLOCK_TOKENS = 1 << 20
 BUCKET_NGRAMS = 1 << 21
 HOT = 1 << 21
 # Bits of an n-gram's number, of a bucket's.
