@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditflow import config
-from creditflow.operators import bin_tests, binning, performance, prepare, quality, report, scoring, woe
+from creditflow.operators import bin_tests, binning, performance, prepare, quality, report, scoring, trees, woe
 from creditflow.operators.histogram import variable_histogram
 from creditflow.session import stage
-from creditflow.sources.tables import append_results, read_bins, read_model, write_bin_reports, write_model, write_table
+from creditflow.sources.tables import append_results, read_bins, read_model, read_trees, write_bin_reports, write_model, write_table, write_trees
 
 
 def with_train_woe(counts: DataFrame) -> DataFrame:
@@ -106,14 +106,17 @@ def run(
     data: config.Dataset,
     output: str,
     models: DataFrame | None = None,
-    trees: PipelineModel | None = None,
+    tree_model: DataFrame | PipelineModel | None = None,
     fail_on_error: bool = False,
     suite=None,
     run_id: str | None = None,
+    tree_settings: trees.Settings | None = None,
 ) -> dict[str, str]:
     """All stages for one product. Every stage is written once and read by the next.
 
     ``run_id`` names the run in the data-quality history; a run that is not named gets an id of its own.
+    Trees score the loans if a tree table is given, or if ``tree_settings`` says how to fit one to the train part's
+    numbers; the table is saved under ``trees``. A fitted pipeline scores too, and is not saved.
     """
     spark = base.sparkSession
     stages = ("base", "quality", "categories", "bins", "bin_reports", "report", "woe", "model", "scores", "tree_scores")
@@ -142,8 +145,16 @@ def run(
     if models is not None:
         write_model(models, paths["model"])
         write_table(scoring.score_scorecard(transformed, read_model(spark, paths["model"])), paths["scores"])
-    if trees is not None:
-        write_table(scoring.score_trees(imputed, trees), paths["tree_scores"])
+    if tree_settings is not None and tree_model is None:
+        numbers = prepare.candidate_features(imputed, prepare.column_kinds(imputed, dictionary), exclude=data.exclude)
+        train, _ = prepare.train_and_oot(imputed, data.split)
+        tree_model = trees.fit_trees(train, numbers, data.target, tree_settings)
+    if isinstance(tree_model, PipelineModel):
+        write_table(scoring.score_trees(imputed, tree_model), paths["tree_scores"])
+    elif tree_model is not None:
+        paths["trees"] = f"{output}/{data.name}/trees"
+        write_trees(tree_model, paths["trees"])
+        write_table(trees.score_trees(imputed, read_trees(spark, paths["trees"])), paths["tree_scores"])
     return paths
 
 
@@ -154,21 +165,29 @@ def apply_saved(
     saved: dict[str, str],
     output: str,
     model_no: int = config.MODEL_NO,
+    run_id: str | None = None,
+    suite=None,
+    fail_on_error: bool = False,
 ) -> dict[str, str]:
-    """Transform and score a later batch with the bins and the model of an earlier run, without fitting.
+    """Check, transform and score a later batch with the bins and the models of an earlier run, without fitting.
 
-    ``saved`` has the paths that ``run`` returned: its ``bins``, its ``model``, and its ``categories``
-    if any accepted bin is of a category.
+    ``saved`` has the paths that ``run`` returned: its ``bins``, its ``model``, its ``categories`` if any accepted bin
+    is of a category, and its ``trees`` if there are any. The batch's data quality is recorded like that of a run.
     """
     spark = base.sparkSession
-    paths = {n: f"{output}/{data.name}/{n}" for n in ("woe", "scores")}
-    imputed = extract(base, dictionary, data)
+    paths = {n: f"{output}/{data.name}/{n}" for n in ("base", "quality", "woe", "scores", "tree_scores")}
+    write_table(extract(base, dictionary, data), paths["base"])
+    imputed = spark.read.parquet(paths["base"])
+    check(imputed, run_id or uuid.uuid4().hex, paths["quality"], data.suite if suite is None else suite, fail_on_error)
     table = woe.woe_table(read_bins(spark, saved["bins"]).where(F.col("status") == "accepted"))
     kinds = prepare.column_kinds(imputed, dictionary)
     categories = [c for c in prepare.candidate_features(imputed, kinds, "Categorical", data.exclude) if c in table]
+    scored = imputed
     if categories:
-        imputed = binning.score_categories(imputed, categories, spark.read.parquet(saved["categories"]))
-    write_table(woe.woe_wide(imputed, table, keep=("LOAN_ID", "USER_ID", "DISBURSED_DATE")), paths["woe"])
+        scored = binning.score_categories(imputed, categories, spark.read.parquet(saved["categories"]))
+    write_table(woe.woe_wide(scored, table, keep=("LOAN_ID", "USER_ID", "DISBURSED_DATE")), paths["woe"])
     transformed = spark.read.parquet(paths["woe"])
     write_table(scoring.score_scorecard(transformed, read_model(spark, saved["model"]), model_no), paths["scores"])
+    if "trees" in saved:
+        write_table(trees.score_trees(imputed, read_trees(spark, saved["trees"])), paths["tree_scores"])
     return paths

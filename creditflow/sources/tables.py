@@ -35,6 +35,17 @@ MODEL_SCHEMA = T.StructType(
         T.StructField("coef", T.DoubleType()),
     ]
 )
+TREE_SCHEMA = T.StructType(
+    [
+        T.StructField("tree", T.IntegerType()),
+        T.StructField("node", T.LongType()),
+        T.StructField("feature", T.StringType()),
+        T.StructField("threshold", T.DoubleType()),
+        T.StructField("left", T.LongType()),
+        T.StructField("right", T.LongType()),
+        T.StructField("leaf", T.DoubleType()),
+    ]
+)
 COMPONENT_SCHEMA = T.StructType(
     [
         T.StructField("component", T.IntegerType()),
@@ -126,6 +137,16 @@ def write_model(models: DataFrame, path: str) -> None:
     models.write.mode("overwrite").csv(path, header=True)
 
 
+def read_trees(spark: SparkSession, path: str) -> DataFrame:
+    """A saved tree table."""
+    return spark.read.schema(TREE_SCHEMA).parquet(path)
+
+
+def write_trees(trees: DataFrame, path: str) -> None:
+    """Save a tree table in the form that ``read_trees`` reads."""
+    trees.write.mode("overwrite").parquet(path)
+
+
 def read_history(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All recorded data-quality runs; empty before the first."""
     try:
