@@ -103,6 +103,8 @@ def logistic(df: DataFrame, variables: Sequence[str], target: str = config.TARGE
         if np.abs(gradient).max() / n <= SMALLEST_GRADIENT:
             break
         step = np.linalg.lstsq(hessian, gradient, rcond=WEAKEST_DIRECTION)[0]
+        if np.abs(step).max() <= SMALLEST_GRADIENT * np.abs(beta).max():
+            break
         for _ in range(30):
             tried = sums(beta + step)
             # near the top the likelihood no longer tells steps apart
@@ -117,6 +119,10 @@ def logistic(df: DataFrame, variables: Sequence[str], target: str = config.TARGE
 # --- principal components --------------------------------------------------------------
 
 
+# A column varies if its standard deviation is more than this part of its mean, or of 1; below is rounding noise.
+LEAST_DEVIATION = 1e-9
+
+
 @dataclass(frozen=True)
 class Correlations:
     """Of the columns that vary, in order."""
@@ -141,14 +147,11 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> Correlations:
 
     def add_products(block: np.ndarray) -> np.ndarray:
         rest = block - means
-        return np.concatenate([(rest.T @ rest)[upper], np.abs(rest).max(axis=0) * 0 + (rest != 0).sum(axis=0)])
+        return (rest.T @ rest)[upper]
 
-    found = added_up(whole, columns, len(upper[0]) + k, add_products)
-    products = symmetric(found[: len(upper[0])], k)
+    products = symmetric(added_up(whole, columns, len(upper[0]), add_products), k)
     scale = np.sqrt(np.diag(products))
-    # a constant column leaves rounding noise at most
-    varies = scale > 1e-9 * np.maximum(1.0, np.abs(means)) * np.sqrt(first[0])
-    kept = np.flatnonzero(varies)
+    kept = np.flatnonzero(scale / np.sqrt(first[0]) > LEAST_DEVIATION * np.maximum(1.0, np.abs(means)))
     matrix = products[np.ix_(kept, kept)] / np.outer(scale[kept], scale[kept])
     return Correlations([columns[i] for i in kept], matrix)
 

@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditflow import config
 from creditflow.functions.expressions import sigmoid
+from creditflow.operators import matrices
 from creditflow.sources.tables import COMPONENT_SCHEMA, MODEL_SCHEMA, small_table, upper_names
 
 CONSTANT = "const"
@@ -61,16 +62,9 @@ def fit_scorecard(
     woe: DataFrame, variables: Sequence[str], model_no: int = config.MODEL_NO, target: str = config.TARGET
 ) -> DataFrame:
     """Logistic regression on WOE columns, returned as a model table."""
-    train = woe.where(F.col(target).isNotNull()).select(F.col(target).cast("double").alias("label"), *variables)
-    steps = Pipeline(
-        stages=[
-            VectorAssembler(inputCols=list(variables), outputCol="features"),
-            LogisticRegression(featuresCol="features", labelCol="label", maxIter=100),
-        ]
-    )
-    fitted = steps.fit(train).stages[-1]
-    coefficients = dict(zip(variables, fitted.coefficients.toArray().tolist()))
-    return model_table(woe.sparkSession, model_no, fitted.intercept, coefficients)
+    fitted = matrices.logistic(woe, variables, target)
+    constant, *coefficients = fitted.coefficients.tolist()
+    return model_table(woe.sparkSession, model_no, constant, dict(zip(variables, coefficients)))
 
 
 # --- boosted trees ------------------------------------------------------------
@@ -112,22 +106,13 @@ def load_trees(path: str) -> PipelineModel:
 
 
 def explained_variance(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(component, variance, cumulative) of the standardised features, largest first.
-
-    The covariance is one tree aggregation; only a features x features matrix
-    leaves the executors.
-    """
-    steps = [
-        VectorAssembler(inputCols=list(features), outputCol="raw"),
-        StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True),
-        PCA(inputCol="scaled", outputCol="components", k=len(features)),
-    ]
-    fitted = Pipeline(stages=steps).fit(df.select(*features))
-    shares = fitted.stages[-1].explainedVariance.toArray().tolist()
+    """(component, variance, cumulative) of the standardised features that vary, largest first."""
+    values = matrices.eigenvalues(matrices.correlations(df, features).matrix)
     rows, total = [], 0.0
-    for i, share in enumerate(shares, 1):
+    for i, value in enumerate(values.tolist(), 1):
+        share = max(value, 0.0) / len(values)
         total += share
-        rows.append((i, float(share), float(total)))
+        rows.append((i, share, total))
     return small_table(df.sparkSession, rows, COMPONENT_SCHEMA)
 
 

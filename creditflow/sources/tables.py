@@ -54,6 +54,21 @@ COMPONENT_SCHEMA = T.StructType(
     ]
 )
 
+CORRELATION_SCHEMA = T.StructType(
+    [
+        T.StructField("a", T.StringType()),
+        T.StructField("b", T.StringType()),
+        T.StructField("correlation", T.DoubleType()),
+    ]
+)
+COMPONENT_SUMS_SCHEMA = T.StructType(
+    [
+        T.StructField("components", T.LongType()),
+        T.StructField("total", T.DoubleType()),
+        T.StructField("squares", T.DoubleType()),
+    ]
+)
+
 # Columns that the modelling bases use of the given tables. Naming them spares a
 # job per table that only reads file footers.
 TABLE_SCHEMAS = {
