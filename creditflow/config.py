@@ -25,9 +25,9 @@ BIN_SHARES = (0.02, 0.05, 0.1)
 BIN_LIMITS = tuple(range(10, 1, -1))
 SEARCH_ROUNDS = tuple((limit, share) for limit in BIN_LIMITS for share in BIN_SHARES)
 
-# Greedy binning: finest bins offered to the search, and the relative gain in
-# information value below which it stops splitting.
-FINE_BINS = 50
+# Histogram: a bucket of several values with more than this share of the rows is counted again with more digits.
+HEAVY_SHARE = 0.02
+# Greedy binning: the relative gain in information value below which it stops splitting.
 MIN_IV_GAIN = 0.1
 
 ID_COLUMNS = ("USER_ID", "LOAN_ID", "DISBURSED_DATE")

@@ -134,15 +134,14 @@ ROUND_SCHEMA = (
 
 def greedy_rounds(
     rounds: Sequence[tuple[int, float]] = config.SEARCH_ROUNDS,
-    fine_bins: int = config.FINE_BINS,
     min_gain: float = config.MIN_IV_GAIN,
 ):
     """The per-variable part of the search, for ``applyInPandas``.
 
     Its input is one variable's histogram, whose size the decimal grid bounds.
-    For each smallest share it splits the fine bins greedily by information
-    value; a bin limit just stops that sequence earlier. It returns the bins of
-    every round.
+    For each smallest share it splits greedily by information value, with every
+    bucket's start as a possible cut; a bin limit just stops that sequence
+    earlier. It returns the bins of every round.
     """
 
     def search(counts: pd.DataFrame) -> pd.DataFrame:
@@ -156,14 +155,8 @@ def greedy_rounds(
         bads = float(counts["bad"].sum())
         goods = total - bads
 
-        # Fine bins of about equal size; a bucket is never split.
-        before = np.cumsum(n) - n
-        first = np.flatnonzero(np.diff(before * fine_bins // max(n.sum(), 1), prepend=-1))
-        if len(n) <= fine_bins:
-            first = np.arange(len(n))
-        edge = start[first]
-        cum_n = np.concatenate([[0], np.cumsum(n)])[np.append(first, len(n))]
-        cum_bad = np.concatenate([[0], np.cumsum(bad)])[np.append(first, len(n))]
+        cum_n = np.concatenate([[0], np.cumsum(n)])
+        cum_bad = np.concatenate([[0], np.cumsum(bad)])
 
         def segment_iv(left, right):
             b = cum_bad[right] - cum_bad[left]
@@ -172,7 +165,7 @@ def greedy_rounds(
             return (pb - pg) * np.log(pb / pg)
 
         def split_sequence(share, limit):
-            cuts, candidates, last = [], np.arange(1, len(first)), len(first)
+            cuts, candidates, last = [], np.arange(1, len(n)), len(n)
             if not last or bads == 0 or goods == 0:
                 return cuts
             iv = segment_iv(0, last)
@@ -203,12 +196,12 @@ def greedy_rounds(
         for number, (limit, share) in enumerate(rounds, 1):
             if len(special):
                 rows.append((variable, number, 0, True, None, None, int(special["n"].sum()), int(special["bad"].sum())))
-            if not len(first):
+            if not len(n):
                 continue
-            bounds = [0, *sorted(sequences[share][: limit - 1]), len(first)]
+            bounds = [0, *sorted(sequences[share][: limit - 1]), len(n)]
             for i, (a, b) in enumerate(zip(bounds, bounds[1:]), 1):
-                lo = -np.inf if a == 0 else float(edge[a])
-                hi = np.inf if b == len(first) else float(edge[b])
+                lo = -np.inf if a == 0 else float(start[a])
+                hi = np.inf if b == len(n) else float(start[b])
                 rows.append((variable, number, i, False, lo, hi, int(cum_n[b] - cum_n[a]), int(cum_bad[b] - cum_bad[a])))
         names = ["variable", "round", "bin_order", "is_special", "lo", "hi", "n", "bad"]
         return pd.DataFrame(rows, columns=names)

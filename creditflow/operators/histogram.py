@@ -95,7 +95,7 @@ def variable_histogram(
     target: str = config.TARGET,
     by: Sequence[str] = (),
     special: Sequence[float] = (config.MISSING_NUMERIC,),
-    max_share: float = 1.0 / config.FINE_BINS,
+    max_share: float = config.HEAVY_SHARE,
     judged_on: str = "true",
 ) -> DataFrame:
     """Bucket counts per (by..., variable): ``special, start, n, bad, low, high``.

@@ -1,4 +1,4 @@
-"""Univariate discrimination of binned variables, in and out of time.
+"""Univariate discrimination of binned variables, in and out of time, and the ROC curve of a score.
 
 A one-variable logistic score is monotone in the variable and its slope has the
 sign of the covariance with the target, so its Gini is that sign times the rank
@@ -10,10 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from creditflow import config
 from creditflow.functions.expressions import ratio
+from creditflow.session import stage
+from creditflow.sources.tables import ROC_OFFSET_SCHEMA, small_table
 
 
 def rank_auc(counts: DataFrame, group: Sequence[str], value: str = "woe") -> DataFrame:
@@ -62,3 +65,74 @@ def gini_train_oot(counts: DataFrame, split: str = "split", value: str = "woe")
     )
     drop = ratio(F.abs(F.col("Gini_train") - F.col("Gini_oot")), F.round("Gini_train", 4))
     return both.withColumn("Relative_diff", drop)
+
+
+# --- the curve of a score with any number of values ---------------------------------
+
+
+def ranked_counts(scored: DataFrame, score: str, target: str = config.TARGET) -> tuple[DataFrame, int, int]:
+    """Rows and bad rows per score, from the highest down, with the sums before and after each; then all bad and good rows.
+
+    Scores are dealt to ranges, each range is summed up on its own, and what comes before a range is added: one number
+    per range reaches the driver, and no task sees all scores. ``next_good, next_bad`` are those of the next lower score.
+    """
+    known = scored.where(F.col(target).isNotNull() & F.col(score).isNotNull() & ~F.isnan(score))
+    y = F.col(target).cast("bigint")
+    counts = known.groupBy(F.col(score).cast("double").alias("score")).agg(F.sum(y).alias("bad"), F.sum(1 - y).alias("good"))
+    dealt = counts.repartitionByRange(F.col("score").desc())
+    # staged, so that every range keeps its number
+    ranges = stage(dealt.withColumn("part", F.spark_partition_id()), "score-ranges")
+    highest = F.max_by(F.struct("good", "bad"), "score")
+    parts = ranges.groupBy("part").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), highest.alias("first")).orderBy("part").collect()
+    rows, bads, goods = [], 0, 0
+    for k, p in enumerate(parts):
+        follows = parts[k + 1]["first"] if k + 1 < len(parts) else (None, None)
+        rows.append((p["part"], bads, goods, follows[1], follows[0]))
+        bads, goods = bads + p["bad"], goods + p["good"]
+    offsets = small_table(scored.sparkSession, rows, ROC_OFFSET_SCHEMA)
+    order = Window.partitionBy("part").orderBy(F.col("score").desc())
+    until = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = (
+        ranges.withColumns({"bads": F.sum("bad").over(until), "goods": F.sum("good").over(until)})
+        .withColumns({"own_next_bad": F.lead("bad").over(order), "own_next_good": F.lead("good").over(order)})
+        .join(offsets, "part")
+    )
+    return (
+        summed.select(
+            "score", "bad", "good",
+            (F.col("bads") + F.col("bads_before")).alias("bads"),
+            (F.col("goods") + F.col("goods_before")).alias("goods"),
+            F.coalesce("own_next_bad", "range_next_bad").alias("next_bad"),
+            F.coalesce("own_next_good", "range_next_good").alias("next_good"),
+        ),
+        bads,
+        goods,
+    )
+
+
+def roc_points(scored: DataFrame, score: str, target: str = config.TARGET) -> DataFrame:
+    """``threshold, fpr, tpr``: the share of good and of bad rows that score at least the threshold.
+
+    The first point has no threshold and is (0, 0). A point between two pieces of the same slope is left out. Rows
+    without outcome or score do not count; a share of no rows is null.
+    """
+    ranked, bads, goods = ranked_counts(scored, score, target)
+
+    def wide(name: str) -> Column:
+        return F.col(name).cast("decimal(19, 0)")
+
+    bends = wide("bad") * wide("next_good") != wide("next_bad") * wide("good")
+    corners = ranked.where(F.col("next_bad").isNull() | bends)
+    points = corners.select(F.col("score").alias("threshold"), ratio("goods", F.lit(goods)).alias("fpr"), ratio("bads", F.lit(bads)).alias("tpr"))
+    origin = scored.sparkSession.range(1 if bads + goods else 0).select(F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return origin.unionByName(points)
+
+
+def roc_area(scored: DataFrame, score: str, target: str = config.TARGET) -> DataFrame:
+    """``auc, gini`` of a score with any number of values, ties at one half; null if a class is absent."""
+    ranked, bads, goods = ranked_counts(scored, score, target)
+    # twice the area in whole pairs; up to 38 digits
+    below = F.col("good").cast("decimal(19, 0)") * (2 * F.col("bads") - F.col("bad")).cast("decimal(19, 0)")
+    pairs = ranked.agg(F.sum(below).cast("double").alias("twice"))
+    auc = ratio(F.col("twice"), F.lit(2.0 * bads * goods))
+    return pairs.select(auc.alias("auc"), (2 * auc - 1).alias("gini"))

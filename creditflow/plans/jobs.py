@@ -25,24 +25,25 @@ def with_train_woe(counts: DataFrame) -> DataFrame:
     )
 
 
-def search_trace(counts: DataFrame) -> DataFrame:
+def search_trace(counts: DataFrame, search=binning.search_rounds) -> DataFrame:
     """Bins of every round with statistics, tests and decision, from a histogram.
 
+    ``search`` is the way to bins: ``binning.search_rounds`` splits, ``merging.merge_search`` merges.
     Staged: it is small (variables x rounds x bins), and settling reads it twice.
     """
     group = ["variable", "round"]
-    bins = binning.bin_statistics(binning.search_rounds(counts), group)
+    bins = binning.bin_statistics(search(counts), group)
     return stage(bin_tests.test_bins(binning.bin_labels(bins), group), "rounds")
 
 
 def search_bins(
-    train: DataFrame, features: Sequence[str], target: str = config.TARGET, stop_at_one: bool = True
+    train: DataFrame, features: Sequence[str], target: str = config.TARGET, stop_at_one: bool = True, search=binning.search_rounds
 ) -> DataFrame:
     """Search all rounds for all variables and keep each variable's settling round.
 
     The data is read once, for the histogram; every later step works on bins.
     """
-    tested = search_trace(variable_histogram(train, features, target))
+    tested = search_trace(variable_histogram(train, features, target), search)
     return bin_tests.final_round(tested, len(config.SEARCH_ROUNDS), stop_at_one)
 
 

@@ -7,7 +7,7 @@ loans pair by pair and every total is a filtered aggregate over those pairs.
 from __future__ import annotations
 
 from creditflow import config
-from creditflow.operators import features
+from creditflow.operators import features, merging
 from creditflow.plans import queries as q
 from creditflow.sources import datasets
 
@@ -357,6 +357,18 @@ performance AS (
 )"""
 
 
+# The same from ``valued`` on, for other bins.
+AUC_OF_VALUED = ",\n" + AUC[AUC.index("auc AS (") :]
+
+
+def written(x: str) -> str:
+    """A double as Spark writes it: with an exponent from ten million on and below a thousandth."""
+    e = f"CAST(floor(log10(abs({x}))) AS INTEGER)"
+    return f"""CASE WHEN {x} = 'inf'::DOUBLE THEN 'inf' WHEN {x} = '-inf'::DOUBLE THEN '-inf'
+       WHEN {x} <> 0 AND (abs({x}) >= 1e7 OR abs({x}) < 1e-3) THEN CAST(round({x} / pow(10, {e}), 14) AS VARCHAR) || 'E' || {e}
+       ELSE CAST({x} AS VARCHAR) END"""
+
+
 def woe_case(variable: str) -> str:
     return f"(SELECT max(woe) FROM stats s WHERE s.variable = '{variable}' AND s.bin_order = b.bin_order)"
 
@@ -551,18 +563,11 @@ def search_cte(rounds) -> str:
 
     out = f""",
 ordered AS (
-  SELECT variable, start, n, bad, coalesce(sum(n) OVER (PARTITION BY variable ORDER BY start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
-         row_number() OVER (PARTITION BY variable ORDER BY start) AS rank,
-         sum(n) OVER (PARTITION BY variable) AS usual, count(*) OVER (PARTITION BY variable) AS buckets
-  FROM histogram WHERE NOT special
-),
-fine AS (
-  SELECT variable, min(start) AS edge, sum(n) AS n, sum(bad) AS bad FROM ordered
-  GROUP BY variable, CASE WHEN buckets <= {config.FINE_BINS} THEN rank ELSE before * {config.FINE_BINS} // usual END
+  SELECT variable, start AS edge, n, bad FROM histogram WHERE NOT special
 ),
 points AS MATERIALIZED (
   SELECT variable, row_number() OVER w - 1 AS j, edge, sum(n) OVER w - n AS n, sum(bad) OVER w - bad AS bad
-  FROM fine WINDOW w AS (PARTITION BY variable ORDER BY edge)
+  FROM ordered WINDOW w AS (PARTITION BY variable ORDER BY edge)
 ),
 sums AS MATERIALIZED (
   SELECT variable, sum(n) AS total, greatest(sum(bad), 0.5)::DOUBLE AS bads, greatest(sum(n) - sum(bad), 0.5)::DOUBLE AS goods,
@@ -617,6 +622,51 @@ round_counts AS MATERIALIZED (
 )""" + counted_statistics_cte("round_counts", "variable, round", "stats")
 
 
+def merge_cte(limit: int, share: float) -> str:
+    """Merging by chi-square as a recursion over lists of bins, one merge a step; then the bins' counts and statistics."""
+    n, b = "(n[i] + n[i + 1])", "(bad[i] + bad[i + 1])"
+    cross = "(bad[i] * (n[i + 1] - bad[i + 1]) - bad[i + 1] * (n[i] - bad[i]))::DOUBLE"
+    chi = f"""CASE WHEN {b} = 0 OR {b} = {n} THEN 0.0::DOUBLE
+      ELSE {n}::DOUBLE * {cross} * {cross} / (n[i]::DOUBLE * n[i + 1]::DOUBLE * {b}::DOUBLE * ({n} - {b})::DOUBLE) END"""
+    small = f"(n[i] < {share} * total OR n[i + 1] < {share} * total)"
+    return f""",
+merging AS (
+  SELECT variable, total, list(n ORDER BY start) AS n, list(bad ORDER BY start) AS bad, list(start ORDER BY start) AS starts
+  FROM histogram JOIN (SELECT variable, sum(n) AS total FROM histogram GROUP BY variable) USING (variable) WHERE NOT special GROUP BY variable, total
+  UNION ALL
+  SELECT variable, total, n[1:pos - 1] || [n[pos] + n[pos + 1]] || n[pos + 2:], bad[1:pos - 1] || [bad[pos] + bad[pos + 1]] || bad[pos + 2:],
+         starts[1:pos] || starts[pos + 2:]
+  FROM (
+    SELECT *, CASE WHEN len(n) > {limit} OR list_min(chis) < {merging.LEAST_CHI_SQUARE} THEN list_position(chis, list_min(chis))
+                   WHEN list_min(touching) IS NOT NULL THEN list_position(touching, list_min(touching)) END AS pos
+    FROM (
+      SELECT *, list_transform(range(1, len(n)), lambda i: {chi}) AS chis, list_transform(range(1, len(n)), lambda i: CASE WHEN {small} THEN {chi} END) AS touching
+      FROM merging WHERE len(n) > 1
+    )
+  )
+  WHERE pos IS NOT NULL AND pos > 0
+),
+merged AS (SELECT variable, arg_min(struct_pack(n := n, bad := bad, starts := starts), len(n)) AS m FROM merging GROUP BY variable),
+places AS (SELECT variable, m, unnest(range(1, len(m.n) + 1)) AS i FROM merged),
+merged_counts AS MATERIALIZED (
+  SELECT variable, i AS bin_order, false AS is_special, CASE WHEN i = 1 THEN '-inf'::DOUBLE ELSE m.starts[i] END AS lo,
+         CASE WHEN i = len(m.n) THEN 'inf'::DOUBLE ELSE m.starts[i + 1] END AS hi, CAST(m.n[i] AS BIGINT) AS count, CAST(m.bad[i] AS BIGINT) AS bad,
+         CAST(m.n[i] - m.bad[i] AS BIGINT) AS good FROM places
+  UNION ALL
+  SELECT variable, 0, true, NULL, NULL, n, bad, n - bad FROM histogram WHERE special
+)""" + counted_statistics_cte("merged_counts", "variable", "stats")
+
+
+def roc_cte() -> str:
+    return f"""WITH scored AS ({scorecard_score()}),
+counts AS (SELECT p_bad, sum(BAD_FLAG) AS bad, count(*) - sum(BAD_FLAG) AS good FROM scored GROUP BY p_bad),
+ranked AS (
+  SELECT *, sum(bad) OVER w AS bads, sum(good) OVER w AS goods, lead(bad) OVER w AS next_bad, lead(good) OVER w AS next_good,
+         (SELECT sum(bad) FROM counts) AS all_bad, (SELECT sum(good) FROM counts) AS all_good
+  FROM counts WINDOW w AS (ORDER BY p_bad DESC)
+)"""
+
+
 def settle_cte(rounds) -> str:
     """Each variable's settling round; the search stops when one variable is left."""
     n = len(rounds)
@@ -741,7 +791,7 @@ FROM performance""",
         + f"SELECT variable, special, {r6('start')} AS start, n, bad, {r6('low')} AS low, {r6('high')} AS high FROM histogram",
     }
     bins = f"""SELECT {{0}}variable, bin_order, lo, hi, count, good, bad, {r6('woe')} AS woe, {r6('total_iv')} AS total_iv"""
-    share = 1.0 / config.FINE_BINS
+    share = config.HEAVY_SHARE
     search = (
         base_cte(all_names) + histogram_cte([*all_names, "LOAN_AMOUNT"], share, where=f"DISBURSED_DATE <= DATE '{data.split}'")
         + search_cte(config.SEARCH_ROUNDS) + tests_cte(group="variable, round") + settle_cte(config.SEARCH_ROUNDS) + " "
@@ -753,7 +803,7 @@ FROM performance""",
         search + """SELECT CAST(t.round AS INTEGER) AS round, status, count(DISTINCT variable) AS variables
 FROM tested t JOIN chosen c USING (variable) WHERE t.round <= c.round GROUP BY t.round, status"""
     )
-    one_round = ((5, 0.05),)
+    one_round = q.ONE_ROUND
     out["category_bins"] = (
         base_cte([]) + """,
 filled AS (SELECT BAD_FLAG, CASE WHEN SEGMENT IS NULL OR SEGMENT = '--' THEN 'missing' ELSE SEGMENT END AS category FROM base),
@@ -782,6 +832,34 @@ scored AS (SELECT s.*, score AS SEGMENT FROM sampled s LEFT JOIN scores USING (c
     out["job_bins"] = (
         job_search + " " + bins.format("CAST(round AS INTEGER) AS round, status, ") + " FROM tested JOIN chosen USING (variable, round)"
     )
+    whole_rows = ", ".join(f"coalesce({v}, -99999)::DOUBLE AS {v}" for v in candidates)
+    out["job_report"] = (
+        job_search + f""",
+final AS MATERIALIZED (SELECT * FROM tested JOIN chosen USING (variable, round)),
+later AS MATERIALIZED (
+  SELECT variable, BAD_FLAG, value FROM (UNPIVOT (SELECT BAD_FLAG, {whole_rows} FROM scored WHERE NOT {train}) ON {", ".join(candidates)} INTO NAME variable VALUE value)
+),
+later_counts AS (
+  SELECT variable, bin_order, count(*) AS n, sum(BAD_FLAG) AS b FROM later JOIN final USING (variable)
+  WHERE CASE WHEN is_special THEN value = -99999 ELSE value <> -99999 AND value >= lo AND value < hi END GROUP BY variable, bin_order
+),
+valued AS (
+  SELECT 'train' AS split, variable, coalesce(woe, 0) AS woe, sum(bad)::DOUBLE AS bad, sum(good)::DOUBLE AS good FROM final GROUP BY ALL
+  UNION ALL
+  SELECT 'oot', variable, coalesce(woe, 0), sum(b)::DOUBLE, sum(n - b)::DOUBLE FROM later_counts JOIN final USING (variable, bin_order) GROUP BY ALL
+)"""
+        + AUC_OF_VALUED
+        + f""",
+words(variables, kind, Trend_Business) AS (VALUES {dictionary_values()}),
+rising AS (SELECT variable, bool_or(test = 'Dec') AS up FROM final GROUP BY variable)
+SELECT t.variable, p.var, CASE WHEN is_special THEN 'missing' ELSE '[' || {written('lo')} || ',' || {written('hi')} || ')' END AS bin,
+       t.count, {r6('t.count_distr')} AS count_distr, t.good, t.bad, {r6('t.badprob')} AS badprob, {r6('t.woe')} AS woe, {r6('t.bin_iv')} AS bin_iv,
+       {r6('t.total_iv')} AS total_iv, {r6('t.Prop_iv')} AS Prop_iv, t.Max_IV_test, t.IV_test,
+       CASE WHEN is_special THEN 'missing' ELSE {written('hi')} END AS breaks, is_special AS is_special_values, CAST(t.counter AS INTEGER) AS counter, t.num_bin,
+       CASE WHEN up THEN 'Increasing' ELSE 'Decreasing' END AS Trend, Trend_Business,
+       {r6('Gini_train')} AS Gini_train, {r6('Gini_oot')} AS Gini_oot, {r6('Relative_diff')} AS Relative_diff
+FROM final t JOIN rising USING (variable) LEFT JOIN performance p ON p.variable = t.variable LEFT JOIN words ON variables = t.variable"""
+    )
     out["job_apply_saved"] = (
         job_search + f""",
 accepted AS (SELECT variable, is_special, lo, hi, woe FROM tested JOIN chosen USING (variable, round) WHERE status = 'accepted'),
@@ -796,8 +874,12 @@ UNION ALL
 SELECT LOAN_ID, variable || '_WOE', 0.0 FROM applied WHERE value = -99999
 AND variable IN (SELECT variable FROM accepted) AND variable NOT IN (SELECT variable FROM accepted WHERE is_special)"""
     )
-    out["woebin_fit"] = (
-        FIXED_BASE + histogram_cte(q.FIXED_CUTS, share) + search_cte(one_round)
-        + f" {bins.format('')}, is_special, {r6('count_distr')} AS count_distr, {r6('badprob')} AS badprob, {r6('bin_iv')} AS bin_iv FROM stats"
-    )
+    whole = f" {bins.format('')}, is_special, {r6('count_distr')} AS count_distr, {r6('badprob')} AS badprob, {r6('bin_iv')} AS bin_iv FROM stats"
+    out["woebin_fit"] = FIXED_BASE + histogram_cte(q.FIXED_CUTS, share) + search_cte(one_round) + whole
+    out["woebin_merge"] = (FIXED_BASE + histogram_cte(q.FIXED_CUTS, share) + merge_cte(*one_round[0])).replace("WITH ", "WITH RECURSIVE ", 1) + whole
+    out["roc_points"] = roc_cte() + f"""
+SELECT NULL::DOUBLE AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr
+UNION ALL SELECT p_bad, {r6('goods / all_good')}, {r6('bads / all_bad')} FROM ranked WHERE next_bad IS NULL OR bad * next_good <> next_bad * good"""
+    area = "sum(good * (bads - bad / 2)) / max(all_bad * all_good)"
+    out["roc_area"] = roc_cte() + f"SELECT {r6(area)} AS auc, {r6(f'2 * ({area}) - 1')} AS gini FROM ranked"
     return out

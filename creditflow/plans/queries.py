@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditflow import config
-from creditflow.operators import bin_tests, binning, features, performance, prepare, quality, report, scoring, woe
+from creditflow.operators import bin_tests, binning, features, merging, performance, prepare, quality, report, scoring, woe
 from creditflow.operators.histogram import variable_histogram
 from creditflow.plans import jobs
 from creditflow.session import new_path, stage
@@ -258,6 +258,20 @@ def bin_trend_report(spark, sf):
     return round_doubles(report.bin_report(tested, performance.gini_train_oot(counts), words))
 
 
+def _risk(spark, sf) -> DataFrame:
+    """Scorecard scores at six decimals with the outcome."""
+    return scorecard_score(spark, sf).select("BAD_FLAG", "p_bad")
+
+
+def roc_points(spark, sf):
+    """The ROC curve of the scorecard's score, without points on a straight line."""
+    return round_doubles(performance.roc_points(_risk(spark, sf), "p_bad"))
+
+
+def roc_area(spark, sf):
+    return round_doubles(performance.roc_area(_risk(spark, sf), "p_bad"))
+
+
 # --- models -----------------------------------------------------------------------
 
 
@@ -306,6 +320,9 @@ def pca_components(spark, sf):
 # --- binning search ----------------------------------------------------------------
 
 
+ONE_ROUND = ((5, 0.05),)
+
+
 def variable_histogram_grid(spark, sf):
     counts = variable_histogram(_imputed(spark, sf), list(FIXED_CUTS), max_share=1.0)
     return round_doubles(counts.select("variable", "special", "start", "n", "bad", "low", "high"))
@@ -313,8 +330,17 @@ def variable_histogram_grid(spark, sf):
 
 def woebin_fit(spark, sf):
     """One round: at most 5 ordinary bins of at least 5 % of the rows each."""
+    return _one_round(spark, sf, binning.search_rounds)
+
+
+def woebin_merge(spark, sf):
+    """The same round from the bottom up: buckets merged by chi-square."""
+    return _one_round(spark, sf, merging.merge_search)
+
+
+def _one_round(spark, sf, search) -> DataFrame:
     counts = variable_histogram(_imputed(spark, sf), list(FIXED_CUTS))
-    bins = binning.search_rounds(counts, rounds=((5, 0.05),)).drop("round")
+    bins = search(counts, rounds=ONE_ROUND).drop("round")
     return round_doubles(
         binning.bin_statistics(bins).select(
             "variable", "bin_order", "is_special", "lo", "hi", "count", "count_distr", "good", "bad",
@@ -557,6 +583,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         feat_recovery_ratios, activity_features, activity_woe_iv, variable_histogram_grid, woebin_fit,
         woebin_search, search_round_counts, category_bins, scorecard_fit, gbt_score, pca_components,
         job_extract, apply_saved_bins, score_saved_model, dq_history, job_extract_all, job_bins, job_report,
-        job_apply_saved,
+        job_apply_saved, woebin_merge, roc_points, roc_area,
     )
 }

@@ -54,6 +54,15 @@ COMPONENT_SCHEMA = T.StructType(
     ]
 )
 
+ROC_OFFSET_SCHEMA = T.StructType(
+    [
+        T.StructField("part", T.IntegerType()),
+        T.StructField("bads_before", T.LongType()),
+        T.StructField("goods_before", T.LongType()),
+        T.StructField("range_next_bad", T.LongType()),
+        T.StructField("range_next_good", T.LongType()),
+    ]
+)
 CORRELATION_SCHEMA = T.StructType(
     [
         T.StructField("a", T.StringType()),
