@@ -679,6 +679,22 @@ ended AS (SELECT max(round) AS last_round FROM running WHERE open > 1),
 chosen AS (SELECT variable, least(settled, last_round) AS round FROM settled, ended)"""
 
 
+def job_search_cte() -> str:
+    """The job's search over all candidate variables: ``tested`` and ``chosen``, from the sample's train part."""
+    data, all_names = config.TRANSACTIONS, features.feature_names()
+    sample = f"DISBURSED_DATE BETWEEN DATE '{data.start}' AND DATE '{data.end}' AND DAYS_SINCE_LAST_TXN <= {data.max_recency}"
+    train = f"DISBURSED_DATE <= DATE '{data.split}'"
+    share, candidates = config.HEAVY_SHARE, [*all_names, "LOAN_AMOUNT", "SEGMENT"]
+    return (
+        base_cte(all_names) + f""",
+sampled AS (SELECT * EXCLUDE (SEGMENT), coalesce(nullif(SEGMENT, '--'), 'missing') AS category FROM base WHERE {sample}),
+scores AS (SELECT category, floor(sum(BAD_FLAG) * 1000 / count(*)) / 1000 AS score FROM sampled WHERE {train} GROUP BY category),
+scored AS (SELECT s.*, score AS SEGMENT FROM sampled s LEFT JOIN scores USING (category))"""
+        + histogram_cte(candidates, share, source="scored", where=train)
+        + search_cte(config.SEARCH_ROUNDS) + tests_cte(group="variable, round") + settle_cte(config.SEARCH_ROUNDS)
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     all_names = features.feature_names()
     ids = "USER_ID, LOAN_ID, DISBURSED_DATE, EVER11DPD_IN_90DAYS, BAD_FLAG, EVER15DPD_IN_60DAYS"
@@ -821,14 +837,7 @@ FROM scores JOIN stats ON score >= lo AND score < hi"""
 {", ".join(f"{r6(f'coalesce({n}, -99999)')} AS {n}" for n in ['LOAN_AMOUNT', *all_names])} FROM base WHERE {sample}"""
     )
     candidates = [*all_names, "LOAN_AMOUNT", "SEGMENT"]
-    job_search = (
-        base_cte(all_names) + f""",
-sampled AS (SELECT * EXCLUDE (SEGMENT), coalesce(nullif(SEGMENT, '--'), 'missing') AS category FROM base WHERE {sample}),
-scores AS (SELECT category, floor(sum(BAD_FLAG) * 1000 / count(*)) / 1000 AS score FROM sampled WHERE {train} GROUP BY category),
-scored AS (SELECT s.*, score AS SEGMENT FROM sampled s LEFT JOIN scores USING (category))"""
-        + histogram_cte(candidates, share, source="scored", where=train)
-        + search_cte(config.SEARCH_ROUNDS) + tests_cte(group="variable, round") + settle_cte(config.SEARCH_ROUNDS)
-    )
+    job_search = job_search_cte()
     out["job_bins"] = (
         job_search + " " + bins.format("CAST(round AS INTEGER) AS round, status, ") + " FROM tested JOIN chosen USING (variable, round)"
     )
