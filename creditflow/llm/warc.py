@@ -86,9 +86,10 @@ def member(page_id: int | None, url: str | None, payload: bytes, refers_to: int
 
 
 def members(stream) -> Iterator[bytearray]:
-    """The inflated content of each gzip member of ``stream``, in order."""
-    inflater, content, data = zlib.decompressobj(31), bytearray(), b""
+    """The inflated content of each gzip member of ``stream``, in order; a member that is only begun is an error."""
+    inflater, content, data, is_begun = zlib.decompressobj(31), bytearray(), b"", False
     while data or (data := stream.read(READ_BYTES)):
+        is_begun = True
         try:
             content += inflater.decompress(data)
         except zlib.error as error:
@@ -97,10 +98,10 @@ def members(stream) -> Iterator[bytearray]:
         if inflater.eof:
             yield content
             data = inflater.unused_data
-            inflater, content = zlib.decompressobj(31), bytearray()
+            inflater, content, is_begun = zlib.decompressobj(31), bytearray(), False
         elif len(content) > MOST_HEADER_BYTES and not content.startswith(VERSION):
             raise WarcError("no record at the start of a member")
-    if content or inflater.unconsumed_tail:
+    if is_begun:
         raise WarcError("the archive ends inside a record")
 
 
@@ -140,14 +141,25 @@ def open_at(uri: str) -> tuple[fs.FileSystem, str]:
 
 
 def mark_revisits(pages: DataFrame, id_column: str, html_column: str, url_column: str) -> DataFrame:
-    """``page_id, url, payload`` of every page, with ``keep_id`` where the payload is large and occurs again."""
+    """``page_id, url, payload`` of every page, with ``keep_id`` where it is to be a revisit of that page.
+
+    Which pages are revisits is decided on ids and digests alone. Payloads only move where a page may be one, found by
+    a filter, and are then dealt by page, so that a payload that very many pages have is not brought together.
+    """
     payload = F.encode(F.coalesce(F.col(html_column), F.lit("")), "utf-8")
     rows = pages.select(F.col(id_column).cast("long").alias("page_id"), F.col(url_column).alias("url"), payload.alias("payload"), F.sha1(payload).alias("digest"))
-    large = rows.where(F.octet_length("payload") >= LEAST_REVISIT_BYTES).groupBy("digest")
-    repeated = large.agg(F.max("page_id").alias("keep_id"), F.count("*").alias("n")).where("n > 1").drop("n")
     # sha1 stands for the payload in the archive itself; small payloads have no entry and stay whole
-    found = rows.join(repeated, "digest", "left")
-    return found.select("page_id", "url", "payload", F.when(F.octet_length("payload") >= LEAST_REVISIT_BYTES, F.col("keep_id")).alias("keep_id"))
+    large = stage(rows.where(F.octet_length("payload") >= LEAST_REVISIT_BYTES).select("page_id", "digest"), "page-digests")
+    repeated = large.groupBy("digest").agg(F.max("page_id").alias("keep_id"), F.count("*").alias("n"))
+    # staged, so that both sides of the join are shuffled and adaptive execution may split a digest of very many pages
+    repeated = stage(repeated.where("n > 1 AND keep_id IS NOT NULL").select(F.col("digest").alias("of_digest"), "keep_id"), "page-groups")
+    others = large.join(repeated, F.col("digest") == F.col("of_digest")).where("NOT page_id <=> keep_id")
+    revisits = stage(others.select(F.col("page_id").alias("of_page"), "of_digest", "keep_id").distinct(), "page-revisits")
+    flagged = common.with_membership(rows, revisits.select(F.col("of_page").alias("page_id"), F.col("of_digest").alias("digest")), "page_id", "digest")
+    same = F.col("page_id").eqNullSafe(F.col("of_page")) & (F.col("digest") == F.col("of_digest"))
+    found = flagged.where("may_be_in").join(revisits, same, "left").select("page_id", "url", "payload", "keep_id")
+    plain = flagged.where("NOT may_be_in").select("page_id", "url", "payload", F.lit(None).cast("long").alias("keep_id"))
+    return plain.unionByName(found)
 
 
 def write_archives(pages: DataFrame, folder: str, id_column: str = "page_id", html_column: str = "html", url_column: str = "url") -> DataFrame:
@@ -161,7 +173,7 @@ def write_archives(pages: DataFrame, folder: str, id_column: str = "page_id", ht
                 if stream is None:
                     path, size, records = f"pages-{uuid.uuid4().hex}.warc.gz", 0, 0
                     stream = system.open_output_stream(f"{base}/{path}", compression=None)
-                packed = member(page_id, url, payload, keep_id, keep_id is not None and page_id != keep_id)
+                packed = member(page_id, url, payload, keep_id, keep_id is not None)
                 stream.write(packed)
                 size, records = size + len(packed), records + 1
                 if size >= FILE_BYTES:
@@ -179,15 +191,15 @@ def write_archives(pages: DataFrame, folder: str, id_column: str = "page_id", ht
 
 
 def read_archives(files: DataFrame) -> DataFrame:
-    """One row per record of the listed files, see ``RECORDS``; a revisit's payload has its response's size."""
+    """One row per record of the listed files, see ``RECORDS``; a file must have as many records as were listed."""
 
     def read(batches: common.Batches) -> Iterator[pa.RecordBatch]:
         names = [f.strip().split()[0] for f in RECORDS.split(",")]
         schema = pa.schema([(n, pa.string() if n in ("record_type", "payload_digest") else pa.int64()) for n in names])
         for batch in batches:
-            for uri in batch.column(0).to_pylist():
+            for uri, listed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 system, path = open_at(uri)
-                rows = []
+                rows, found = [], 0
                 with system.open_input_stream(path, compression=None) as stream:
                     for fields, block in map(parse, members(stream)):
                         kind = fields["warc-type"]
@@ -195,14 +207,17 @@ def read_archives(files: DataFrame) -> DataFrame:
                             page_of(fields["warc-record-id"]), kind, page_of(fields.get("warc-refers-to")),
                             fields["warc-payload-digest"].removeprefix("sha1:"), None if kind == "revisit" else len(payload_of(block)),
                         ))
+                        found += 1
                         if len(rows) >= 10_000:
                             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
                             rows = []
+                if found != listed:
+                    raise WarcError(f"{uri} has {found} records, not {listed}")
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    count = files.count()
-    return files.select("path").repartition(max(1, count), "path").mapInArrow(read, RECORDS)
+    # dealt in turn, one file a task
+    return files.select("path", "records").repartition(max(1, files.count())).mapInArrow(read, RECORDS)
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import io
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from creditflow.llm import warc
 
@@ -91,3 +92,42 @@ def repacked(content):
 def test_damage_is_noticed(change):
     with pytest.raises(warc.WarcError):
         read(change(archive(b"a payload of some length")))
+
+
+def test_every_cut_is_noticed():
+    """An archive that ends anywhere but after a whole record is an error, also within the first bytes of a member."""
+    first = archive(b"one")
+    data = archive(b"one", b"and two")
+    for cut in range(1, len(data)):
+        if cut == len(first):
+            assert len(read(data[:cut])) == 1
+            continue
+        with pytest.raises(warc.WarcError):
+            read(data[:cut])
+
+
+def test_lost_records_are_noticed(spark, tmp_path):
+    (tmp_path / "a.warc.gz").write_bytes(archive(b"one", b"two"))
+    listed = lambda n: spark.createDataFrame([(f"file://{tmp_path}/a.warc.gz", n)], "path string, records long")
+    assert warc.read_archives(listed(2)).count() == 2
+    for n in (1, 3):
+        with pytest.raises(Exception, match="has 2 records"):
+            warc.read_archives(listed(n)).collect()
+
+
+def test_a_hot_payload_is_not_brought_together(spark):
+    """Half of the pages are one payload: what is joined with payloads is dealt by page."""
+    rows = [(i, "u", "h" * 1500 if i % 2 else f"{i} " * 400) for i in range(600)]
+    marked = warc.mark_revisits(pages(spark, rows).repartition(8), "page_id", "html", "url")
+    assert {r["page_id"]: r["keep_id"] for r in marked.collect()} == {i: 599 if i % 2 and i != 599 else None for i, _, _ in rows}
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        marked = warc.mark_revisits(pages(spark, rows).repartition(8), "page_id", "html", "url").where("keep_id IS NOT NULL")
+        sizes = [r["n"] for r in marked.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 299 and max(sizes) < 4 * sorted(sizes)[len(sizes) // 2]
