@@ -6,17 +6,18 @@ lie close together the answer stands but is not accepted.
 
 Texts are reduced to lower-case words of letters. All words of a text are compressed, in order and in blocks, so that
 the dictionary matters to the end of a long text. Dictionaries hold each word once per labelled document, which leaves
-room for more documents. Null texts and texts without letters are ``und`` with score 0 and are not accepted. Ties go
-to the first language by name.
+room for more documents. Null texts and texts without letters are ``und`` with score 0 and are not accepted; digits and
+numbers of any kind (superscripts, fractions, Roman numerals, circled ones) are not letters. Ties go to the first
+language by name.
 Rows are judged one by one, so repeated rows get equal results; an empty table gives an empty result. Without any
 labelled row every text is ``und``.
 """
 
 from __future__ import annotations
 
-import re
 from functools import cache
 
+import regex
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,13 +36,14 @@ MIN_MATCH = 3
 # A margin is narrow if the second-best result is larger by less than this share.
 MIN_MARGIN = 0.002
 
-NOT_LETTERS = re.compile(r"[\W\d_]+")
+# A letter, then letters and the marks that belong to them; numbers in letter-like forms are none.
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 UNDETERMINED = "und"
 
 
 def letters(text: str | None, distinct: bool = False) -> bytes:
     """The words of letters, lower-cased, in order, all or each once; empty if there is none."""
-    words = NOT_LETTERS.sub(" ", (text or "").lower()).split()
+    words = WORD.findall((text or "").lower())
     return (" " + " ".join(dict.fromkeys(words) if distinct else words)).encode() if words else b""
 
 

@@ -1,5 +1,7 @@
+import unicodedata
 from itertools import product
 
+import zstandard
 from helpers import documents
 from pyspark.sql import functions as F
 
@@ -83,3 +85,33 @@ def test_many_languages_and_long_texts(spark):
     whole = language_id.dictionaries({"long": [" ".join(syllables)] * 20})
     assert learned["long"] == whole["long"]
     assert language_id.learn(docs.repartition(5)) == learned
+
+
+def test_numbers_of_any_kind_are_not_letters():
+    items = tuple(language_id.dictionaries({"aa": ["alpha beta"], "zz": ["omega sigma"]}).items())
+    for text in ("² ½", "Ⅷ", "①", "٣ 7 ᛮ", "́ ´ _ -"):
+        assert language_id.classify(text, items) == ("und", 0.0, False, 0.0)
+    assert language_id.letters("Café x²y Ⅷ ªB­") == " café x y ªb".encode()
+    assert language_id.classify("x²", items)[0] != "und"
+
+
+def plain_choice(text, learned):
+    """From the definition: every block compressed with each dictionary by a compressor of its own, the smallest sum wins."""
+    words = "".join(c if c.isalpha() or unicodedata.category(c)[0] == "M" else " " for c in (text or "").lower()).split()
+    raw = "".join(f" {w}" for w in words).encode()
+    sizes = []
+    for lang, content in sorted(learned.items()):
+        made = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        pack = lambda b, made=made: len(zstandard.ZstdCompressor(dict_data=made, compression_params=zstandard.ZstdCompressionParameters.from_level(3, min_match=3, write_content_size=False, write_checksum=False, write_dict_id=False)).compress(b))
+        blocks = [raw[i : i + 4096] for i in range(0, len(raw), 4096)]
+        lead = content[-256:]
+        sizes.append((pack(lead + blocks[0]) - pack(lead) + sum(map(pack, blocks[1:])), lang))
+    return min(sizes)[1]
+
+
+def test_same_as_plain_compressors(spark):
+    docs = common.read_documents(spark, SF)
+    learned = language_id.learn(docs.where("doc_id % 2 = 0"))
+    texts = [r["text"] for r in docs.where("doc_id % 2 = 1 AND length(text) > 40").orderBy("doc_id").limit(100).collect()]
+    items = tuple(sorted(learned.items()))
+    assert [language_id.classify(t, items)[0] for t in texts] == [plain_choice(t, learned) for t in texts]
