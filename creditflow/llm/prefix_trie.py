@@ -13,8 +13,8 @@ until one forest is left. Rows with equal sequences are neighbours, so a group o
 tasks by the conversation's id and only its counts come together.
 
 Turns are told apart by the MD5 hash of role and text, prefixes by a 128-bit hash. Turns go by ``turn``, null first;
-equal turns go by that hash. Null roles and texts count as empty, rows without a conversation id are left out. A
-conversation is one row of 16 bytes a turn, however long its texts are; texts are read once and do not move. Repeated
+equal turns go by that hash. Null roles and texts count as empty, rows without a conversation id are left out. The
+remainders of negative ids have their sign, as in SQL. A conversation is one row of 16 bytes a turn, however long its texts are; texts are read once and do not move. Repeated
 rows are turns of their own. An empty table gives an empty result, without a root. Other columns are not looked at
 and may have any names.
 """
