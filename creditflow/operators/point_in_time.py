@@ -20,20 +20,24 @@ from pyspark.sql import functions as F
 AGED = "__aged"
 
 
-def daily_panel(events: Sequence[DataFrame], anchors: DataFrame, key: str, day: str) -> DataFrame:
+def daily_panel(events: Sequence[DataFrame], anchors: DataFrame | None, key: str, day: str) -> DataFrame:
     """One row per (key, day): summed measures, and whether the day is an anchor.
 
     Each source is summed by itself first, so what is shuffled carries only that
     source's measures, and a hot (key, day) leaves a task as one row. The sources
     then lie partitioned alike and are put together where they are. Rows without
-    a key or a day belong to no point in time.
+    a key or a day belong to no point in time. Where the anchors are days of a
+    source, that source marks them (``is_anchor``, 1 or null) and ``anchors`` is None.
     """
     placed = f"{key} IS NOT NULL AND {day} IS NOT NULL"
-    parts = [anchors.select(key, day).where(placed).distinct().withColumn("is_anchor", F.lit(1))]
+    parts = []
+    if anchors is not None:
+        parts.append(anchors.select(key, day).where(placed).distinct().withColumn("is_anchor", F.lit(1)))
     for part in events:
         part = part.where(placed)
-        measures = [c for c in part.columns if c not in (key, day)]
-        parts.append(part.groupBy(key, day).agg(*[F.expr(f"sum({m})").alias(m) for m in measures]))
+        measures = [F.expr(f"sum({c})").alias(c) for c in part.columns if c not in (key, day, "is_anchor")]
+        marks = [F.max("is_anchor").alias("is_anchor")] if "is_anchor" in part.columns else []
+        parts.append(part.groupBy(key, day).agg(*marks, *measures))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     measures = [c for c in rows.columns if c not in (key, day, "is_anchor")]
     return rows.groupBy(key, day).agg(
@@ -110,7 +114,7 @@ def as_of(
 
 
 def uses_to_events(
-    uses: DataFrame, key: str, item: Sequence[str], day: str, horizon: int, first: str, active: str
+    uses: DataFrame, key: str, item: Sequence[str], day: str, horizon: int, first: str, active: str, carried: Sequence[str] = ()
 ) -> DataFrame:
     """Distinct-item counts as summable events.
 
@@ -118,13 +122,16 @@ def uses_to_events(
     before an anchor counts the items ever used; summing ``active`` counts the
     items used in the ``horizon`` days before it: an item opens (+1) on a use
     that follows none within the horizon and closes (-1) ``horizon`` days after
-    a use that none follows.
+    a use that none follows. ``carried`` columns of a use stay on its own day,
+    the first of them is never null there.
     """
     w = Window.partitionBy(key, *item).orderBy(day)
+    kept = F.col(carried[0]).isNotNull() if carried else F.lit(False)
     marked = uses.select(
         key,
         *item,
         day,
+        *carried,
         F.lag(day).over(w).alias("__previous"),
         F.lead(day).over(w).alias("__next"),
     )
@@ -135,15 +142,17 @@ def uses_to_events(
             F.col(day).alias("__d"),
             F.col("__previous").isNull().cast("bigint").alias(first),
             opens.cast("bigint").alias(active),
+            *carried,
         ),
         F.struct(
             F.date_add(day, horizon).alias("__d"),
             F.lit(0).cast("bigint").alias(first),
             F.when(closes, F.lit(-1)).otherwise(F.lit(0)).cast("bigint").alias(active),
+            *[F.lit(None).cast(uses.schema[c].dataType).alias(c) for c in carried],
         ),
     )
     return (
         marked.select(key, *item, F.inline(rows))
-        .where((F.col(first) != 0) | (F.col(active) != 0))
+        .where((F.col(first) != 0) | (F.col(active) != 0) | kept)
         .withColumnRenamed("__d", day)
     )

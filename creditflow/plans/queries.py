@@ -58,8 +58,8 @@ def round_doubles(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def _base(spark: SparkSession, sf: str, families: Sequence[str] = ("core",)) -> DataFrame:
-    return prepare.project_base(datasets.transaction_base(spark, sf, families))
+def _base(spark: SparkSession, sf: str, families: Sequence[str] = ("core",), period: tuple[str, str] | None = None) -> DataFrame:
+    return prepare.project_base(datasets.transaction_base(spark, sf, families, period))
 
 
 def _imputed(spark: SparkSession, sf: str, families: Sequence[str] = ("core",)) -> DataFrame:
@@ -80,7 +80,7 @@ def base_scan_project(spark, sf):
 
 def sample_window_filter(spark, sf):
     data = config.TRANSACTIONS
-    sample = prepare.sample_window(_base(spark, sf), data.start, data.end, data.recency_column, data.max_recency)
+    sample = prepare.sample_window(_base(spark, sf, period=(data.start, data.end)), data.start, data.end, data.recency_column, data.max_recency)
     return sample.select("LOAN_ID", "USER_ID", "DISBURSED_DATE", "BAD_FLAG", "DAYS_SINCE_LAST_TXN")
 
 
@@ -89,13 +89,15 @@ JOB_COLUMNS = ("DAYS_SINCE_LAST_TXN", "TOTAL_TRXNS", "TOTAL_TXN_AMNT", "AVG_TRAN
 
 def job_extract(spark, sf):
     """The extract job: sample window and recency, then imputation."""
-    base = datasets.transaction_base(spark, sf, ("core",))
+    data = config.TRANSACTIONS
+    base = datasets.transaction_base(spark, sf, ("core",), (data.start, data.end))
     sample = jobs.extract(base, datasets.transaction_dictionary(spark), config.TRANSACTIONS)
     return round_doubles(sample.select("LOAN_ID", "DISBURSED_DATE", "BAD_FLAG", "SEGMENT", *JOB_COLUMNS))
 
 
 def _job_base(spark, sf) -> DataFrame:
-    return datasets.transaction_base(spark, sf, tuple(features.FAMILIES))
+    data = config.TRANSACTIONS
+    return datasets.transaction_base(spark, sf, tuple(features.FAMILIES), (data.start, data.end))
 
 
 def _job_sample(spark, sf) -> DataFrame:

@@ -60,13 +60,16 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def transaction_events(orders: DataFrame) -> DataFrame:
+def transaction_events(orders: DataFrame, is_sampled: Column) -> DataFrame:
+    """One row per order; a loan's day is an anchor if it ``is_sampled``."""
+
     def only(status: str, value: Column) -> Column:
         return F.when(F.col("status") == status, value).otherwise(F.lit(0).cast("bigint"))
 
     one = F.lit(1).cast("bigint")
     return orders.select(
         "user_id",
+        "account",
         "day",
         one.alias("n_txn"),
         F.col("c").alias("c_txn"),
@@ -74,14 +77,23 @@ def transaction_events(orders: DataFrame) -> DataFrame:
         only("O", one).alias("n_credit"),
         only("F", F.col("c")).alias("c_debit"),
         only("O", F.col("c")).alias("c_credit"),
+        F.when((F.col("account") == LOAN_PRIORITY) & is_sampled, 1).alias("is_anchor"),
     )
 
 
-def account_events(orders: DataFrame) -> DataFrame:
-    uses = orders.select("user_id", "account", "day").distinct()
-    return uses_to_events(
-        uses, "user_id", ["account"], "day", features.HORIZON, "accounts", "active_accounts"
-    ).drop("account")
+def account_events(transactions: DataFrame) -> DataFrame:
+    """The same transactions, summed per account and day, with the accounts' first and active days beside them.
+
+    One pass over the orders gives both, and what the search for neighbouring days sorts is one row per account and day.
+    """
+    measures = [c for c in transactions.columns if c not in ("user_id", "account", "day", "is_anchor")]
+    uses = (
+        transactions.where("user_id IS NOT NULL AND day IS NOT NULL")
+        .groupBy("user_id", "account", "day")
+        .agg(*[F.sum(m).alias(m) for m in measures], F.max("is_anchor").alias("is_anchor"))
+    )
+    carried = [*measures, "is_anchor"]
+    return uses_to_events(uses, "user_id", ["account"], "day", features.HORIZON, "accounts", "active_accounts", carried)
 
 
 def settlement_events(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
@@ -177,14 +189,21 @@ def counterparty_events(orders: DataFrame, lineitem: DataFrame, supplier: DataFr
 
 
 def transaction_base(
-    spark: SparkSession, sf_dir: str, families: Iterable[str] = tuple(features.FAMILIES)
+    spark: SparkSession, sf_dir: str, families: Iterable[str] = tuple(features.FAMILIES), period: tuple[str, str] | None = None
 ) -> DataFrame:
-    """One row per loan: ids, outcome flags, segment and the families' features."""
+    """One row per loan: ids, outcome flags, segment and the families' features.
+
+    With a ``period`` (first and last day) only its loans are described. Orders after it are not read, and since
+    no total looks past its anchor, the loans' features are those that they have without it.
+    """
     families = tuple(dict.fromkeys(("core", *families)))
-    orders = _orders(spark, sf_dir)
-    parts = [transaction_events(orders)]
-    if "accounts" in families:
-        parts.append(account_events(orders))
+    orders, all_loans, is_sampled = _orders(spark, sf_dir), loans(spark, sf_dir), F.lit(True)
+    if period is not None:
+        start, end = (F.lit(d).cast("date") for d in period)
+        orders, is_sampled = orders.where(F.col("day") <= end), F.col("day") >= start
+        all_loans = all_loans.where(F.col("disbursed_date").between(start, end))
+    transactions = transaction_events(orders, is_sampled)
+    parts = [(account_events(transactions) if "accounts" in families else transactions).drop("account")]
     if "settlement" in families or "counterparty" in families:
         lineitem = read_given(spark, sf_dir, "lineitem")
     if "settlement" in families:
@@ -193,9 +212,7 @@ def transaction_base(
         supplier = read_given(spark, sf_dir, "supplier")
         parts.append(counterparty_events(orders, lineitem, supplier))
 
-    all_loans = loans(spark, sf_dir)
-    anchors = orders.where(F.col("account") == LOAN_PRIORITY).select("user_id", "day")
-    panel = daily_panel(parts, anchors, "user_id", "day")
+    panel = daily_panel(parts, None, "user_id", "day")
     dated = ("customers",) if "counterparty" in families else ()
     known = as_of(panel, "user_id", "day", features.feature_windows(families), "n_txn", dated)
 

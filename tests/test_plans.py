@@ -26,6 +26,23 @@ def test_loan_filter_reaches_the_scan(spark, capsys):
     assert "EqualTo(o_orderpriority,1-URGENT)" in plan
 
 
+def test_base_reads_the_facts_in_few_passes(spark, capsys):
+    """Loans; transactions with accounts and loan dates; orders of settled lines; orders of suppliers' lines."""
+    data = config.TRANSACTIONS
+    plan = plan_of(datasets.transaction_base(spark, SF, period=(data.start, data.end)), capsys)
+    scans = [part for part in plan.split("\n\n") if "Scan parquet" in part and "orders.parquet" in part]
+    assert len(scans) == 4
+    assert all("LessThan(o_orderdate,2001-08-01" in s for s in scans)
+
+
+def test_a_period_leaves_the_features_of_its_loans(spark):
+    period = ("1998-03-01", "1999-02-15")
+    whole = datasets.transaction_base(spark, SF).where("DISBURSED_DATE BETWEEN '1998-03-01' AND '1999-02-15'")
+    part = datasets.transaction_base(spark, SF, period=period)
+    assert part.count() == whole.count() > 0
+    assert part.exceptAll(whole).count() == 0
+
+
 def test_split_and_impute_do_not_shuffle(spark, capsys, tmp_path):
     datasets.transaction_base(spark, SF, ("core",)).write.parquet(str(tmp_path / "base"))
     base = prepare.project_base(spark.read.parquet(str(tmp_path / "base")))
