@@ -41,7 +41,7 @@ def search_bins(
 ) -> DataFrame:
     """Search all rounds for all variables and keep each variable's settling round.
 
-    The data is read once, for the histogram; every later step works on bins.
+    The data is read for the histogram only, each column once; every later step works on bins. Stage what is not read from a file.
     """
     tested = search_trace(variable_histogram(train, features, target), search)
     return bin_tests.final_round(tested, len(config.SEARCH_ROUNDS), stop_at_one)
