@@ -131,28 +131,78 @@ class Correlations:
     matrix: np.ndarray
 
 
-def correlations(df: DataFrame, columns: Sequence[str]) -> Correlations:
-    """From two passes: means first, then products of what is left of them. Rows with a null or NaN count for no column."""
-    whole = df.na.drop(subset=[f"`{c}`" for c in columns]) if columns else df
+@dataclass
+class Moments:
+    """Of some rows: how many, the means, and the products of what is left of the columns."""
+
+    n: float
+    means: np.ndarray
+    products: np.ndarray
+
+    def add(self, n: float, means: np.ndarray, products: np.ndarray) -> None:
+        """Take in other rows. Only differences of means are squared, so large means cost no digits."""
+        if n:
+            total, gap = self.n + n, means - self.means
+            self.products += products + np.outer(gap, gap) * (self.n * n / total)
+            self.means = self.means + gap * (n / total)
+            self.n = total
+
+
+# Tasks that put the other tasks' moments together; each gives the driver one matrix.
+MERGERS = 8
+
+
+def moments(df: DataFrame, columns: Sequence[str]) -> Moments:
+    """One pass, so ``df`` need not be staged. Rows with a null or NaN count for no column."""
     k = len(columns)
-    upper = np.triu_indices(k)
+    schema = pa.schema([("n", pa.float64()), ("means", pa.binary()), ("products", pa.binary())])
 
-    def add_rows(block: np.ndarray) -> np.ndarray:
-        return np.concatenate([[len(block)], block.sum(axis=0)])
+    def empty() -> Moments:
+        return Moments(0.0, np.zeros(k), np.zeros((k, k)))
 
-    first = added_up(whole, columns, k + 1, add_rows)
-    if not first[0]:
-        return Correlations([], np.zeros((0, 0)))
-    means = first[1:] / first[0]
+    def row(found: Moments) -> pa.RecordBatch:
+        values = [found.n], [found.means.tobytes()], [found.products.tobytes()]
+        return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
+
+    def of_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = empty()
+        for batch in batches:
+            block = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            block = block[~np.isnan(block).any(axis=1)]
+            if len(block):
+                means = block.mean(axis=0)
+                block -= means
+                found.add(float(len(block)), means, block.T @ block)
+        if found.n:
+            yield row(found)
+
+    def take_in(found: Moments, n: float, means: bytes, products: bytes) -> None:
+        found.add(n, np.frombuffer(means), np.frombuffer(products).reshape(k, k))
+
+    def of_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = empty()
+        for batch in batches:
+            for part in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                take_in(found, *part)
+        if found.n:
+            yield row(found)
+
+    kinds = "n double, means binary, products binary"
+    rows = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    whole = empty()
+    for r in rows.mapInArrow(of_rows, kinds).repartition(MERGERS).mapInArrow(of_tasks, kinds).collect():
+        take_in(whole, r["n"], bytes(r["means"]), bytes(r["products"]))
+    return whole
 
-    def add_products(block: np.ndarray) -> np.ndarray:
-        rest = block - means
-        return (rest.T @ rest)[upper]
 
-    products = symmetric(added_up(whole, columns, len(upper[0]), add_products), k)
-    scale = np.sqrt(np.diag(products))
-    kept = np.flatnonzero(scale / np.sqrt(first[0]) > LEAST_DEVIATION * np.maximum(1.0, np.abs(means)))
-    matrix = products[np.ix_(kept, kept)] / np.outer(scale[kept], scale[kept])
+def correlations(df: DataFrame, columns: Sequence[str]) -> Correlations:
+    """From one pass. Rows with a null or NaN count for no column."""
+    found = moments(df, columns) if columns else None
+    if found is None or not found.n:
+        return Correlations([], np.zeros((0, 0)))
+    scale = np.sqrt(np.diag(found.products))
+    kept = np.flatnonzero(scale / np.sqrt(found.n) > LEAST_DEVIATION * np.maximum(1.0, np.abs(found.means)))
+    matrix = found.products[np.ix_(kept, kept)] / np.outer(scale[kept], scale[kept])
     return Correlations([columns[i] for i in kept], matrix)
 
 

@@ -91,3 +91,30 @@ def test_correlations_of_nothing(spark):
 def test_residual_is_checked():
     with pytest.raises(ArithmeticError, match="residual"):
         matrices.eigenvalues(np.array([[1.0, 5.0], [0.0, 1.0]]))
+
+
+def test_correlations_read_their_rows_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    rows = [(1, float(i), float(i * i)) for i in range(50)]
+    data = frame(spark, rows, ["a", "b"]).repartition(3).mapInPandas(counted, "BAD_FLAG int, a double, b double")
+    found = matrices.correlations(data, ["a", "b"])
+    assert read.value == len(rows)
+    assert found.matrix == pytest.approx(np.corrcoef(np.array(rows)[:, 1:].T))
+
+
+def test_moments_of_unlike_parts_are_put_together(spark):
+    """More parts than mergers, each around a mean of its own, one with missing values only."""
+    pick = np.random.default_rng(4)
+    x = np.concatenate([pick.normal(1e7 * part, 1, (7, 2)) for part in range(20)])
+    rows = [(1, *r) for r in x.tolist()] + [(1, None, 3.0), (1, float("nan"), 4.0)]
+    data = frame(spark, rows, ["a", "b"]).repartition(20)
+    found = matrices.moments(data, ["a", "b"])
+    assert found.n == len(x)
+    assert found.means == pytest.approx(x.mean(axis=0), rel=1e-12)
+    assert found.products == pytest.approx((x - x.mean(axis=0)).T @ (x - x.mean(axis=0)), rel=1e-10)
